@@ -66,7 +66,8 @@ MEASURES = ("quantity", "unit_price", "revenue", "profit", "profit_margin_pct")
 
 
 def _r2(value: str, name: str) -> str:
-    return f"CAST(round({value}, 2) AS DOUBLE) AS {name}"
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return f"CAST(round({value}, 2) AS DOUBLE) + 0.0 AS {name}"
 
 
 def _kpis(keys: str, source: str = "clean") -> str:

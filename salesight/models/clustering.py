@@ -58,7 +58,7 @@ def kmeans_elbow(
     """Within-cluster sum of squares per k; the fits share one persisted input."""
     vectors = rows.select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
-    @inheritable_thread_target
+    @inheritable_thread_target(rows.sparkSession)
     def cost(k: int) -> tuple[int, float]:
         model = KMeans(featuresCol="features", k=k, seed=seed).fit(vectors)
         return k, float(model.summary.trainingCost)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -11,6 +10,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.aggregate import group_counts
+from ..sources.staging import stage
+
 CATEGORICAL = ("category", "sub_category", "region")
 NUMERIC = ("quantity", "unit_price", "revenue")
 LABEL = "profit"
@@ -53,26 +55,22 @@ def feature_pipeline(
     return Pipeline(stages=[*encoding_stages(categorical), assembler, *last])
 
 
-def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Index and row count of every label, from the indexed rows."""
-    check_label_counts(df, cols)
-    indexer = encoding_stages(cols)[0]
-    indexed = indexer.fit(df.select(*cols)).transform(df.select(*cols))
+def _encoded(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per row and column: name, label, index and one-hot slot."""
+    rows = stage(df.select(*cols), "labels").frame
+    encoded = one_hot(rows, cols)
     entries = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(c).alias("label"),
                 F.col(f"{c}_idx").cast("int").alias("label_index"),
+                (F.array_position(vector_to_array(f"{c}_vec"), 1.0) - 1).cast("int").alias("slot"),
             )
             for c in cols
         ]
     )
-    return (
-        indexed.select(F.inline(entries))
-        .groupBy("column_name", "label", "label_index")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    return encoded.select(F.inline(entries))
 
 
 def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -81,22 +79,14 @@ def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
     return Pipeline(stages=encoding_stages(cols)).fit(df).transform(df)
 
 
+def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """Index and row count of every label, from the indexed rows."""
+    return group_counts(_encoded(df, cols), ["column_name", "label", "label_index"])
+
+
 def one_hot_totals(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Ones per vector slot and label, read from the encoded vectors."""
-    encoded = one_hot(df.select(*cols), cols)
-
-    def slots(c: str) -> DataFrame:
-        values = encoded.select(
-            F.lit(c).alias("column_name"),
-            F.col(c).alias("label"),
-            F.posexplode(vector_to_array(f"{c}_vec")).alias("slot", "value"),
-        )
-        set_slots = values.where(F.col("value") != 0)
-        return set_slots.groupBy("column_name", "label", "slot").agg(
-            F.sum("value").cast("bigint").alias("ones")
-        )
-
-    return reduce(DataFrame.unionByName, [slots(c) for c in cols])
+    """Rows that set each vector slot, with the label behind it."""
+    return group_counts(_encoded(df, cols), ["column_name", "label", "slot"], "ones")
 
 
 def standardize(

@@ -1,8 +1,8 @@
 """Compare groups with figures of the whole: benchmarks and shares of a total.
 
-The figures are one row by construction (an aggregate without keys) and enter
-the plan as scalar subqueries, so no join is planned; adaptive execution re-uses
-the shuffle of the grouped input for both sides.
+The figures are one row by construction (an aggregate without keys) and enter the
+plan as scalar subqueries, so no join is planned. The input is read for the groups
+and for the figures: stage it when it is expensive.
 """
 
 from __future__ import annotations

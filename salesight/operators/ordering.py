@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import percent
-from ..sources.staging import stage
+from ..sources.staging import Staged, settle, stage
 
 ONE_TASK_ROWS = 500_000
 MAX_SLICES = 10_000
@@ -92,13 +92,13 @@ def _rank_by_counts(
 
 
 def with_ranks(
-    df: DataFrame,
+    df: DataFrame | Staged,
     ranks: Mapping[str, str],
     partition_by: Sequence[str] = (),
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add competition ranks, largest first; ``ranks`` maps output to measure."""
-    staged = stage(df, "ranked")
+    staged = settle(df, "ranked")
     if staged.rows <= one_task_rows:
         window = Window.partitionBy(*partition_by)
         return staged.frame.withColumns(
@@ -123,14 +123,14 @@ def _tile(position: Column, rows: int, tiles: int) -> Column:
 
 
 def with_tiles(
-    df: DataFrame,
+    df: DataFrame | Staged,
     tiles: Mapping[str, str],
     n: int,
     tie_break: Sequence[str],
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add equal-count tiles 1..n, largest first; ties go by the ``tie_break`` keys."""
-    staged = stage(df, "tiled")
+    staged = settle(df, "tiled")
 
     def order(measure: str) -> list[Column]:
         return [_descending(measure), *[F.col(k).asc_nulls_first() for k in tie_break]]
@@ -148,14 +148,14 @@ def with_tiles(
 
 
 def top_with_ranks(
-    df: DataFrame, k: int, order: Sequence[Column], ranks: Mapping[str, str]
+    df: DataFrame | Staged, k: int, order: Sequence[Column], ranks: Mapping[str, str]
 ) -> DataFrame:
     """The first ``k`` rows, each with its ranks among **all** rows.
 
     Only ``k`` rows need ranks, and a rank is one plus the rows above it: one
     aggregate over the table counts those, and nothing is sorted as a whole.
     """
-    frame = stage(df, "top").frame
+    frame = settle(df, "top").frame
     top = frame.orderBy(*order).limit(k).collect()
 
     def above(measure: str, value) -> Column:
@@ -176,7 +176,7 @@ def top_with_ranks(
     schema = frame.schema
     for out in ranks:
         schema = schema.add(out, "integer")
-    return df.sparkSession.createDataFrame(found, schema)
+    return frame.sparkSession.createDataFrame(found, schema)
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

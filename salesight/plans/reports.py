@@ -1,8 +1,9 @@
 """The twelve business reports over a clean sales table.
 
 Each report is: KPIs per group, then shares, ranks, tiles or benchmarks on the
-unrounded figures, then labels, rounding, order and limit. Sorts end with the
-group keys, so equal figures come out in one order.
+unrounded figures, then labels, rounding, order and limit. Where the KPIs are used
+more than once they are staged, so the sales table is read once. Sorts end with
+the group keys, so equal figures come out in one order.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from ..operators.ordering import (
     with_tiles,
 )
 from ..operators.prepare import with_price_tier
+from ..sources.staging import stage
 
 SHARES = {"revenue_share_pct": "total_revenue", "profit_share_pct": "total_profit"}
 RANKS = {
@@ -44,7 +46,7 @@ PER_ORDER = ("avg_order_value", "profit_per_order")
 
 
 def _ranking(sales: DataFrame, dimension: str, extra: Sequence[str], one_task_rows: int) -> DataFrame:
-    kpis = order_averages(group_kpis(sales, [dimension]))
+    kpis = stage(order_averages(group_kpis(sales, [dimension])), "kpis")
     ranked = with_shares(with_ranks(kpis, RANKS, one_task_rows=one_task_rows), SHARES)
     shown = [*RANKED_MONEY, *extra]
     return (
@@ -67,8 +69,9 @@ def q02_region_strength(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) ->
 def q03_top_products(sales: DataFrame, k: int = 10) -> DataFrame:
     """Products with the largest revenue; shares and ranks are among all products."""
     keys = ["product_name", "category"]
-    kpis = with_shares(group_kpis(sales, keys), SHARES)
-    top = top_with_ranks(kpis, k, [F.desc("total_revenue"), *keys], RANKS)
+    kpis = stage(group_kpis(sales, keys), "kpis")
+    shared = kpis._replace(frame=with_shares(kpis.frame, SHARES))
+    top = top_with_ranks(shared, k, [F.desc("total_revenue"), *keys], RANKS)
     return (
         rounded(top, RANKED_MONEY)
         .select(*keys, "total_quantity", *RANKED_MONEY, *RANKS)
@@ -93,7 +96,7 @@ def q04_volume_without_margin(
         "avg_quantity_benchmark": mean_of("total_quantity"),
         "avg_margin_benchmark": mean_of("profit_margin_pct"),
     }
-    groups = with_benchmark(group_kpis(sales, keys), figures)
+    groups = with_benchmark(stage(group_kpis(sales, keys), "kpis").frame, figures)
     gaps = {
         "quantity_above_benchmark": F.col("total_quantity") - F.col("avg_quantity_benchmark"),
         "margin_gap_pct": F.col("profit_margin_pct") - F.col("avg_margin_benchmark"),
@@ -149,7 +152,8 @@ def q06_price_tiers(sales: DataFrame, cuts: Sequence[float] = L.PRICE_CUTS) -> D
 def q07_share_without_margin(sales: DataFrame, include_all: bool = False) -> DataFrame:
     """Sub-categories with more than the mean revenue share at less than the overall margin."""
     keys = ["category", "sub_category"]
-    shares = with_shares(group_kpis(sales, keys), {"revenue_share_pct": "total_revenue"})
+    kpis = stage(group_kpis(sales, keys), "kpis").frame
+    shares = with_shares(kpis, {"revenue_share_pct": "total_revenue"})
     figures = {
         "avg_revenue_share_benchmark": mean_of("revenue_share_pct"),
         "overall_margin_benchmark": overall_margin(),
@@ -262,7 +266,8 @@ def q12_corrective_actions(
         "revenue_gap": revenue - F.col("avg_revenue_benchmark"),
         "margin_gap_pct": F.col("profit_margin_pct") - F.col("overall_margin_benchmark"),
     }
-    groups = with_benchmark(group_kpis(sales, keys), figures).withColumns(gaps)
+    kpis = stage(group_kpis(sales, keys), "kpis").frame
+    groups = with_benchmark(kpis, figures).withColumns(gaps)
     candidate = (revenue >= F.col("avg_revenue_benchmark")) & (
         F.col("profit_margin_pct") < F.col("overall_margin_benchmark")
     )

@@ -55,3 +55,8 @@ def stage(df: DataFrame, name: str = "frame", sort_within: Sequence[str] = ()) -
     out.write.parquet(path)
     frame = spark.read.schema(df.schema).parquet(path)
     return Staged(frame, frame.count())
+
+
+def settle(df: DataFrame | Staged, name: str = "frame") -> Staged:
+    """Stage a DataFrame unless it is staged already."""
+    return df if isinstance(df, Staged) else stage(df, name)

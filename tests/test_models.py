@@ -1,0 +1,174 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from salesight.models import clustering, features, regression
+
+
+@pytest.fixture(scope="module")
+def clean(spark, small_dir):
+    return entry.clean(spark, small_dir)
+
+
+@pytest.fixture(scope="module")
+def rows(clean):
+    return regression.regression_input(clean).persist()
+
+
+@pytest.fixture(scope="module")
+def vectors(clean):
+    return clustering.cluster_input(clean).persist()
+
+
+@pytest.fixture(scope="module")
+def clustered(vectors):
+    return clustering.kmeans_assign(vectors).persist()
+
+
+def test_labels_go_by_frequency_then_name(spark):
+    df = spark.createDataFrame([("b",), ("b",), ("c",), ("a",)], "x string")
+    found = {r.label: (r.label_index, r.row_count) for r in features.label_index(df, ["x"]).collect()}
+    assert found == {"b": (0, 2), "a": (1, 1), "c": (2, 1)}
+
+
+def test_every_label_has_a_slot_and_unseen_ones_none(spark):
+    train = spark.createDataFrame([("a",), ("a",), ("b",)], "x string")
+    from pyspark.ml import Pipeline
+
+    model = Pipeline(stages=features.encoding_stages(["x"])).fit(train)
+    both = spark.createDataFrame([("a",), ("b",), ("new",)], "x string")
+    found = {r.x: r.v for r in model.transform(both).select("x", vector_to_array("x_vec").alias("v")).collect()}
+    assert found == {"a": [1.0, 0.0], "b": [0.0, 1.0], "new": [0.0, 0.0]}
+
+
+def test_too_many_labels_are_refused(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("x"))
+    with pytest.raises(ValueError, match="x"):
+        features.check_label_counts(df, ["x"], most=50)
+
+
+def test_split_keeps_all_rows(clean, rows):
+    sizes = {r.split: r["count"] for r in rows.groupBy("split").count().collect()}
+    assert sum(sizes.values()) == clean.count()
+    assert 0.77 < sizes["train"] / sum(sizes.values()) < 0.83
+
+
+def test_metrics_equal_the_evaluator(rows):
+    both = regression.compare_models(rows, trees=5)
+    found = {r.model: r for r in regression.regression_metrics(both, {"a": "linear", "b": "forest"}).collect()}
+    for model, column in (("a", "linear"), ("b", "forest")):
+        for metric in ("rmse", "mae", "r2"):
+            evaluator = RegressionEvaluator(labelCol="profit", predictionCol=column, metricName=metric)
+            assert found[model][metric] == pytest.approx(evaluator.evaluate(both), rel=1e-9)
+    assert found["b"].r2 > 0.3
+
+
+def test_linear_model_reaches_least_squares(rows):
+    """The encoded labels are collinear; the fit must still be the least-squares one."""
+    train = regression.part(rows, "train")
+    scored = regression.fit_linear(train).transform(train)
+    data = scored.select(vector_to_array("features").alias("x"), "profit", "prediction").collect()
+    x = np.column_stack([np.ones(len(data)), np.array([r.x for r in data])])
+    y = np.array([r.profit for r in data])
+    best = y - x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    ours = y - np.array([r.prediction for r in data])
+    assert np.sqrt((ours**2).mean()) == pytest.approx(np.sqrt((best**2).mean()), rel=1e-3)
+
+
+def test_importances_carry_the_right_names(spark):
+    """Only the price drives the label, so the price must come first."""
+    df = spark.range(400).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias("category"),
+        F.concat(F.lit("s"), F.col("id") % 4).alias("sub_category"),
+        F.concat(F.lit("r"), F.col("id") % 2).alias("region"),
+        (F.col("id") % 7).cast("double").alias("quantity"),
+        F.col("id").cast("double").alias("unit_price"),
+        (F.col("id") * 37 % 101).cast("double").alias("revenue"),
+        (F.col("id") * 10.0).alias("profit"),
+    )
+    found = regression.feature_importance(regression.fit_forest(df, trees=5), df, k=100).collect()
+    assert found[0].feature == "unit_price" and found[0].importance > 0.8
+    assert sum(r.importance for r in found) == pytest.approx(1)
+    assert {"category_vec_c0", "region_vec_r1"} <= {r.feature for r in found}
+
+
+def test_same_rows_train_the_same_forest(clean):
+    def scores():
+        rows = regression.regression_input(clean)
+        model = regression.fit_forest(regression.part(rows, "train"), trees=3)
+        return model.transform(rows).agg(F.sum("prediction")).first()[0]
+
+    assert scores() == pytest.approx(scores(), rel=1e-9)
+
+
+def test_standardised_features(vectors):
+    z = vectors.select(vector_to_array("features").alias("z"))
+    for i in range(len(clustering.FEATURES)):
+        mean, deviation = z.agg(F.avg(F.col("z")[i]), F.stddev(F.col("z")[i])).first()
+        assert mean == pytest.approx(0, abs=1e-9) and deviation == pytest.approx(1)
+
+
+def test_rows_without_margin_are_left_out_of_clusters(clean, vectors):
+    assert clean.where("revenue = 0").count() > 0
+    assert vectors.where("profit_margin_pct IS NULL").count() == 0
+
+
+def test_elbow_falls(vectors):
+    cost = {r.k: r.wcss for r in clustering.kmeans_elbow(vectors, [2, 4, 8]).collect()}
+    assert cost[2] > cost[4] > cost[8] > 0
+
+
+def test_assignment_is_the_nearest_centre(clustered):
+    assert {r.prediction for r in clustered.select("prediction").distinct().collect()} == {0, 1, 2, 3}
+    sample = clustered.select(vector_to_array("features").alias("z"), "prediction").collect()
+    z, side = np.array([r.z for r in sample]), np.array([r.prediction for r in sample])
+    centres = np.array([z[side == k].mean(axis=0) for k in range(4)])
+    nearest = ((z[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == side).mean() > 0.97
+
+
+def test_same_rows_give_the_same_clusters(clean, clustered):
+    again = clustering.kmeans_assign(clustering.cluster_input(clean))
+    count = lambda df: sorted(tuple(r) for r in df.groupBy("prediction").count().collect())
+    assert count(again) == count(clustered)
+
+
+def test_profiles_agree_with_the_rows(clustered):
+    total = clustered.count()
+    profile = clustering.cluster_profile(clustered).collect()
+    assert sum(r.order_count for r in profile) == total
+    assert [r.avg_revenue for r in profile] == sorted((r.avg_revenue for r in profile), reverse=True)
+    assert clustering.cluster_sizes(clustered).agg(F.sum("row_count")).first()[0] == total
+    counts = clustering.cluster_category_counts(clustered).collect()
+    best = {}
+    for r in counts:
+        best.setdefault(r.cluster, (r.category, r.cnt))
+    joined = clustering.cluster_profile_with_category(clustered)
+    assert joined.columns.count("prediction") == 1
+    for r in joined.collect():
+        assert (r.dominant_category, r.dominant_category_count) == best[r.prediction]
+
+
+def test_silhouette_is_in_range(clustered):
+    assert 0 < clustering.silhouette(clustered) <= 1
+
+
+def test_projection_equals_the_covariance_eigenvectors(clustered):
+    z = np.array([r.z for r in clustered.select(vector_to_array("features").alias("z")).collect()])
+    values = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
+    shares = [r.explained_variance for r in clustering.pca_variance(clustered).collect()]
+    assert shares == pytest.approx(list(values[:2] / values.sum()))
+    scores = clustering.pca_scores(clustered)
+    spread = scores.agg(F.var_samp("pc1"), F.var_samp("pc2")).first()
+    assert list(spread) == pytest.approx(list(values[:2]), rel=1e-6)
+
+
+def test_scatter_sample_is_capped(clustered):
+    scores = clustering.pca_scores(clustered)
+    assert clustering.pca_feed(scores, fraction=0.5, cap=50).count() == 50
+    assert clustering.pca_feed(scores).count() < 0.1 * scores.count()

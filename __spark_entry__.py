@@ -22,8 +22,9 @@ from salesight.operators import aggregate, describe, prepare, quality  # noqa: E
 from salesight.operators import sampling  # noqa: E402
 from salesight.operators.benchmark import overall_margin, with_benchmark  # noqa: E402
 from salesight.plans import overviews, reports  # noqa: E402
+from salesight.session import tune  # noqa: E402
 from salesight.sources import files, star  # noqa: E402
-from salesight.sources.staging import staged_path  # noqa: E402
+from salesight.sources.staging import stage, staged_path  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +34,7 @@ LOOKED_UP = ("small ring", "red widget")
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.sales_raw(spark, sf_dir)
+    return star.sales_raw(tune(spark), sf_dir)
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +71,8 @@ def _range_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _region_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = clean(spark, sf_dir)
+    used = ["region", "category", *clustering.AVERAGES.values()]
+    sales = stage(clean(spark, sf_dir).select(*used), "profiled").frame
     profile = aggregate.group_profile(sales, "region", clustering.AVERAGES)
     dominant = aggregate.dominant_value(sales, "region", "category")
     return aggregate.profile_with_dominant(profile, dominant, "region")
@@ -95,7 +97,8 @@ def _baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rate": overall_margin("profit", "revenue") / 100,
         "mean_profit": F.avg(F.col("profit").cast("double")),
     }
-    rows = with_benchmark(clean(spark, sf_dir), figures)
+    money = stage(clean(spark, sf_dir).select("revenue", "profit"), "money").frame
+    rows = with_benchmark(money, figures)
     rows = rows.withColumn("expected", F.col("revenue").cast("double") * F.col("rate"))
     predictors = {"overall_margin": "expected", "mean_profit": "mean_profit"}
     found = regression.regression_metrics(rows, predictors)
@@ -205,6 +208,7 @@ def queries() -> dict[str, Query]:
             clean, aggregate.value_counts, ("category", "sub_category", "region", "state")
         ),
         "describe_measures": _describe,
+        "describe_measures_approx": _on(clean, describe.describe),
         "kpi_totals": _on(clean, overviews.kpi_totals),
         "region_overview": _on(clean, overviews.dimension_overview, "region"),
         "category_overview": _on(clean, overviews.dimension_overview, "category"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -55,19 +55,20 @@ def cluster_input(sales: DataFrame, keep: Sequence[str] = ("order_id", "category
 def kmeans_elbow(
     rows: DataFrame, ks: Sequence[int] = ELBOW, seed: int = SEED, parallelism: int = 4
 ) -> DataFrame:
-    """Within-cluster sum of squares per k; the fits share one persisted input."""
-    vectors = rows.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    """Within-cluster sum of squares per k.
+
+    Fits run side by side; each caches its vectors while it iterates, so
+    ``parallelism`` also sets how many copies the cluster holds at a time.
+    """
+    vectors = rows.select("features")
 
     @inheritable_thread_target(rows.sparkSession)
     def cost(k: int) -> tuple[int, float]:
         model = KMeans(featuresCol="features", k=k, seed=seed).fit(vectors)
         return k, float(model.summary.trainingCost)
 
-    try:
-        with ThreadPool(parallelism) as pool:
-            found = pool.map(cost, list(ks))
-    finally:
-        vectors.unpersist()
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(cost, list(ks))
     return rows.sparkSession.createDataFrame(found, "k int, wcss double").orderBy("k")
 
 

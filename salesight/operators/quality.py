@@ -72,7 +72,7 @@ def size_gate(df: DataFrame, min_rows: int = 100_000, min_cols: int = 10) -> Dat
 
 def null_counts(df: DataFrame) -> DataFrame:
     """NULLs per column as one wide row."""
-    return df.agg(*[count_where(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*[count_where(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
 
 
 def _repeats(df: DataFrame, cols: Sequence[str]) -> DataFrame:

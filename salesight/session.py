@@ -1,9 +1,26 @@
-"""Session construction (sources, operators and plans all take an existing session)."""
+"""Session construction and settings (all else takes an existing session)."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Splitting hot join keys is allowed even where it costs one more shuffle: the
+# de-duplication can re-use a join's partitioning, and without this it would also
+# inherit its skew.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def session(
     app: str = "salesight",
@@ -18,17 +35,11 @@ def session(
     cluster size it for the largest shuffle (about 128-200 MB per partition).
     Further settings go in as ``**{"spark.checkpoint.dir": "hdfs:///shared/ckpt"}``.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if master is not None:
         builder = builder.master(master)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in conf.items():
+    for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

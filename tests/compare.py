@@ -1,12 +1,10 @@
-"""Run queries beside their SQL and compare rows, names and kinds of columns.
+"""Run queries beside their SQL and compare rows, names and types of columns.
 
     python tests/compare.py [sf_dir] [query ...]
 """
 
 from __future__ import annotations
 
-import datetime
-import decimal
 import os
 import sys
 import time
@@ -25,15 +23,14 @@ def connect(sf_dir: str):
     return con
 
 
-def _kind(value):
-    if value is None:
-        return None
-    if isinstance(value, bool):
-        return bool
-    for kind in (int, float, decimal.Decimal, str, datetime.date):
-        if isinstance(value, kind):
-            return kind
-    return type(value)
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+}
 
 
 def _rows(names, rows):
@@ -46,12 +43,14 @@ def differences(spark_df, con, sql: str) -> list[str]:
     result = con.sql(sql)
     wanted = result.fetchall()
     names, wanted_names = spark_df.columns, result.columns
-    if sorted(names) != sorted(wanted_names):
-        return [f"columns {sorted(names)} != {sorted(wanted_names)}"]
+    types = sorted(spark_df.dtypes)
+    wanted_types = sorted((n, SPARK_TYPES.get(str(t), str(t))) for n, t in zip(wanted_names, result.types))
+    if types != wanted_types:
+        return [f"columns {types} != {wanted_types}"]
     if len(found) != len(wanted):
         return [f"{len(found)} rows != {len(wanted)}"]
     a, b = _rows(names, found), _rows(wanted_names, wanted)
-    bad = [(x, y) for x, y in zip(a, b) if x != y or [*map(_kind, x)] != [*map(_kind, y)]]
+    bad = [(x, y) for x, y in zip(a, b) if x != y]
     return [f"{len(bad)} of {len(a)} rows differ, first: {bad[0]}"] if bad else []
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from .ordering import ONE_TASK_ROWS, running_before
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -42,16 +43,18 @@ def _exact(long: DataFrame, one_task_rows: int) -> DataFrame:
     of distinct values.
     """
     counts = long.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    staged = stage(counts, "value_counts")
     order = [F.col("measure"), F.col("value")]
-    running = running_before(counts, order, F.col("n"), "ahead", one_task_rows)
-    totals = running.groupBy("measure").agg(
+    running = running_before(staged, order, F.col("n"), "ahead", one_task_rows)
+    totals = staged.frame.groupBy("measure").agg(
         F.sum("n").alias("row_count"),
         F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.min("ahead").alias("start"),
     )
-    # One row per described column is broadcast.
+    # One row per described column: a window over them and their broadcast are small.
+    earlier = Window.orderBy("measure").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("start", F.coalesce(F.sum("row_count").over(earlier), F.lit(0)))
     placed = running.join(F.broadcast(totals), "measure")
     first = F.col("ahead") - F.col("start")
 

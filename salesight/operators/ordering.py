@@ -40,7 +40,7 @@ def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def running_before(
-    df: DataFrame,
+    df: DataFrame | Staged,
     order: Sequence[Column],
     weight: Column,
     out: str,
@@ -50,7 +50,7 @@ def running_before(
 
     ``order`` must be total (end it with a key) for the result to be unique.
     """
-    staged = stage(df, "ordered")
+    staged = settle(df, "ordered")
     before = (Window.unboundedPreceding, -1)
 
     def total_before(window) -> Column:
@@ -59,7 +59,8 @@ def running_before(
     if staged.rows <= one_task_rows:
         return staged.frame.withColumn(out, total_before(Window.orderBy(*order)))
 
-    slices = min(MAX_SLICES, math.ceil(staged.rows / one_task_rows) + 1)
+    tasks = int(staged.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = min(MAX_SLICES, max(tasks, math.ceil(staged.rows / one_task_rows) + 1))
     ranged = staged.frame.repartitionByRange(slices, *order)
     # Written, so that totals and rows are sure to see the same slices.
     cut = stage(ranged.withColumn("_slice", F.spark_partition_id()), "slices").frame
@@ -69,7 +70,7 @@ def running_before(
     inside = cut.withColumn("_inside", total_before(Window.partitionBy("_slice").orderBy(*order)))
     # At most MAX_SLICES rows are broadcast.
     placed = inside.join(F.broadcast(starts), "_slice")
-    return placed.withColumn(out, F.col("_start") + F.col("_inside")).select(*df.columns, out)
+    return placed.withColumn(out, F.col("_start") + F.col("_inside")).select(*staged.frame.columns, out)
 
 
 def _rank_by_counts(

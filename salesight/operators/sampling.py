@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 BUCKETS = 1_000_000
 
 
-def _hash(df: DataFrame, seed: int, keys: Sequence[str] | None) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(k) for k in (keys or df.columns)])
+def _hash(df: DataFrame, purpose: str, seed: int, keys: Sequence[str] | None) -> Column:
+    """Row hash; the purpose keeps a sample independent of a split with the same seed."""
+    return F.xxhash64(F.lit(f"{purpose} {seed}"), *[F.col(k) for k in (keys or df.columns)])
 
 
-def _chosen(df: DataFrame, fraction: float, seed: int, keys: Sequence[str] | None) -> Column:
-    return F.pmod(_hash(df, seed, keys), F.lit(BUCKETS)) < int(fraction * BUCKETS)
+def _chosen(row_hash: Column, fraction: float) -> Column:
+    return F.pmod(row_hash, F.lit(BUCKETS)) < round(fraction * BUCKETS)
 
 
 def train_test_split(
@@ -33,7 +34,7 @@ def train_test_split(
 
     Hashing whole rows keeps the fractions even where one key holds many rows.
     """
-    chosen = _chosen(df, fraction, seed, keys)
+    chosen = _chosen(_hash(df, "split", seed, keys), fraction)
     return df.withColumn(out, F.when(chosen, "train").otherwise("test"))
 
 
@@ -49,7 +50,7 @@ def sample_rows(
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Bernoulli sample without replacement; ``cap`` keeps the first rows by hash."""
-    sample = df.where(_chosen(df, fraction, seed, keys))
+    sample = df.where(_chosen(_hash(df, "sample", seed, keys), fraction))
     if cap is None:
         return sample
-    return sample.orderBy(_hash(df, seed + 1, keys)).limit(cap)
+    return sample.orderBy(_hash(df, "cap", seed, keys)).limit(cap)

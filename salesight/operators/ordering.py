@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.measures import percent
 from ..sources.staging import Staged, settle, stage
@@ -164,19 +165,15 @@ def top_with_ranks(
             return F.col(measure).isNotNull()
         return F.col(measure) > F.lit(value)
 
-    counts = [F.count_if(above(m, row[m])) for row in top for m in ranks.values()]
-    if not top:
-        found = []
-    else:
-        beaten = list(frame.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts)]).first())
-        width = len(ranks)
-        found = [
-            (*row, *[n + 1 for n in beaten[i * width : (i + 1) * width]])
-            for i, row in enumerate(top)
-        ]
-    schema = frame.schema
-    for out in ranks:
-        schema = schema.add(out, "integer")
+    found = []
+    if top:
+        above_each = [F.count_if(above(m, row[m])) for row in top for m in ranks.values()]
+        beaten = list(frame.agg(*[c.alias(f"_{i}") for i, c in enumerate(above_each)]).first())
+        for row in top:
+            own, beaten = beaten[: len(ranks)], beaten[len(ranks) :]
+            found.append((*row, *[n + 1 for n in own]))
+    added = [StructField(out, IntegerType()) for out in ranks]
+    schema = StructType([*frame.schema.fields, *added])
     return frame.sparkSession.createDataFrame(found, schema)
 
 

@@ -119,6 +119,14 @@ def test_top_with_ranks_of_a_null_measure_and_of_nothing(spark):
     assert ordering.top_with_ranks(df.limit(0), 5, [F.col("k")], {"r": "v"}).count() == 0
 
 
+def test_top_with_ranks_leaves_a_staged_table_usable(spark):
+    staged = stage(spark.createDataFrame(table(n=20), SCHEMA))
+    for _ in range(2):
+        top = ordering.top_with_ranks(staged, 2, [F.col("k")], {"r": "v"})
+        assert top.columns == ["g", "k", "v", "r"] and top.count() == 2
+    assert staged.frame.columns == ["g", "k", "v"]
+
+
 def test_ranks_take_a_staged_table_as_it_is(spark):
     staged = stage(spark.createDataFrame(table(n=20), SCHEMA))
     df = ordering.with_ranks(staged, {"r": "v"})

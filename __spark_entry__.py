@@ -26,6 +26,14 @@ from salesight.session import tune  # noqa: E402
 from salesight.sources import files, star  # noqa: E402
 from salesight.sources.staging import stage, staged_path  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from salesight.llm import queries as corpus
+except ModuleNotFoundError as error:  # the training-data operators are an optional part
+    if (error.name or "").split(".")[0] not in ("corpus_pipeline", "salesight"):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -265,8 +273,15 @@ def queries() -> dict[str, Query]:
         "pca_variance": _on(_vectors, clustering.pca_variance),
         "pca_feed": _on(_clustered, lambda df: clustering.pca_feed(clustering.pca_scores(df))),
     }
+    if corpus is not None:
+        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if corpus is not None:
+        found |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

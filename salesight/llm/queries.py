@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesight.llm import mixing, simhash, token_counts
+from salesight.llm import mixing, simhash, substring_dedup, token_counts
 from salesight.llm.tables import write_table
 from salesight.session import tune
 
@@ -23,6 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.drop_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     sized = docs.select("doc_id", "source", mixing.count_words(F.col("text")).alias("size"))
@@ -44,6 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op3_source_mix": op3_source_mix,
         "op6_simhash": op6_simhash,
         "op10_token_counts": op10_token_counts,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,22 @@ def text_key(text: Column) -> Column:
 
 def records(**columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
+
+
+def pack_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, tk (see ``text_key``) and the text compressed, for a join that moves whole texts."""
+
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        packed = [squeeze((t.as_py() or "").encode()) for t in batch.column(2)]
+        yield records(
+            doc_id=batch.column(0), tk=batch.column(1), packed=pa.array(packed, pa.binary())
+        )
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("tk"), "text")
+    return map_batches(rows, step, "doc_id bigint, tk bigint, packed binary")
+
+
+def unpack(packed: object) -> str:
+    """The text of a packed value of Arrow."""
+    return zstandard.ZstdDecompressor().decompress(packed.as_py()).decode("utf-8", "replace")

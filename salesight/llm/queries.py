@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesight.llm import mixing, simhash, substring_dedup, token_counts
+from salesight.llm import (
+    decontaminate,
+    mixing,
+    notices,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from salesight.llm.tables import write_table
 from salesight.session import tune
 
@@ -28,6 +36,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     sized = docs.select("doc_id", "source", mixing.count_words(F.col("text")).alias("size"))
@@ -35,6 +48,13 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(quality_rules.statistics(docs), rules)
+    return judged.select("doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept", "rule")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(
@@ -42,6 +62,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = notices.scan(documents(spark, sf_dir))
+    both = F.concat("base_labels", F.transform("notices", lambda n: n.getField("label")))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(both)), ",").alias("labels"),
+        "score",
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.token_counts(documents(spark, sf_dir), path)
@@ -50,8 +81,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_decontaminate": op2_decontaminate,
         "op3_source_mix": op3_source_mix,
+        "op4_quality_rules": op4_quality_rules,
         "op6_simhash": op6_simhash,
+        "op8_license_scan": op8_license_scan,
         "op10_token_counts": op10_token_counts,
     }
 

@@ -151,3 +151,16 @@ def per_row(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sum of each row's items, 0 for a row without items."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return total[rows[1:]] - total[rows[:-1]]
+
+
+def joined(data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray]:
+    r"""The words with one space after each, \n after a row's last; where each word starts."""
+    lengths = found.ends - found.starts
+    moved = np.cumsum(lengths + 1) - lengths - 1
+    out = np.full(int(lengths.sum()) + len(lengths), 0x20, np.uint8)
+    shift = np.repeat(moved - found.starts, lengths)
+    inside = np.repeat(found.starts - np.cumsum(lengths) + lengths, lengths) + np.arange(len(shift))
+    out[inside + shift] = data[inside]
+    last = found.rows[1:][np.diff(found.rows) > 0] - 1
+    out[moved[last] + lengths[last]] = 0x0A
+    return out, moved

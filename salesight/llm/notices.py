@@ -43,8 +43,9 @@ NOTICES = {
     "licensed under the creative commons attribution 4 0 international license": "cc-by-4.0-notice",
     "subject to the terms of the mozilla public license": "mpl-notice",
 }
-#: One error is allowed for so many characters of a notice.
-CHARS_PER_ERROR = 8
+#: One error is allowed for so many characters of a notice, up to the most.
+CHARS_PER_ERROR = 10
+MOST_ERRORS = 4
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
@@ -61,9 +62,9 @@ class Notice(NamedTuple):
     pattern: regex.Pattern
 
 
-def notice(words: str, label: str, chars_per_error: int = CHARS_PER_ERROR) -> Notice:
+def notice(words: str, label: str) -> Notice:
     raw = words.encode()
-    errors = len(raw) // chars_per_error
+    errors = min(MOST_ERRORS, len(raw) // CHARS_PER_ERROR)
     cuts = [round(i * len(raw) / (errors + 1)) for i in range(errors + 2)]
     pieces = [(a, raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
     pattern = regex.compile(b"(?b)(?:" + regex.escape(raw, special_only=True) + b"){e<=%d}" % errors)
@@ -83,20 +84,24 @@ def phrase_places(hashes: np.ndarray, rows: np.ndarray, phrase: str) -> np.ndarr
 
 
 def spans(sought: Notice, buffer: bytes) -> list[tuple[int, int, int]]:
-    """Start, end and edits of the notice's places in words joined by spaces."""
+    """Start, end and edits of the notice's places in words joined by spaces, in one row each."""
     low = {}
     for offset, piece in sought.pieces:
         at = buffer.find(piece)
         while at >= 0:
             start = max(0, at - offset - sought.errors)
-            end = min(len(buffer), at - offset + len(sought.words) + sought.errors)
+            start = buffer.rfind(b"\n", start, at) + 1 or start
+            end = at - offset + len(sought.words) + sought.errors
+            end = (buffer.find(b"\n", at, end) + 1 or min(len(buffer), end) + 1) - 1
             low[start] = max(low.get(start, 0), end)
             at = buffer.find(piece, at + 1)
     found: dict[tuple[int, int], int] = {}
     for start, end in sorted(low.items()):
-        match = sought.pattern.search(buffer, start, end)
-        if match and b"\n" not in match.group().strip(b"\n"):
-            found.setdefault(match.span(), sum(match.fuzzy_counts))
+        at = buffer.find(sought.words, start, end)
+        if at >= 0:
+            found[at, at + len(sought.words)] = 0
+        elif match := sought.pattern.search(buffer, start, end):
+            found[match.span()] = sum(match.fuzzy_counts)
     kept: list[tuple[int, int, int]] = []
     for (start, end), edits in sorted(found.items(), key=lambda f: (f[1], f[0])):
         if all(end <= s or e <= start for s, e, _ in kept):

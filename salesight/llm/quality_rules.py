@@ -26,6 +26,9 @@ from salesight.llm.tables import map_batches, records
 
 #: Labelled rows that a list is fitted on, at most.
 SAMPLE_ROWS = 20_000
+#: Base rules: the fewest words, and the most words in repeated windows in percent.
+LEAST_WORDS = 50
+REPEAT_PERCENT = 50
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -202,17 +205,23 @@ def learn(
     cuts: int = 65,
     least_covered: int = 2,
 ) -> list[Rule]:
-    """Rules that reject, in order. Every third row prunes, the others grow."""
+    """Rules that reject, in order. Every third row prunes, the others grow.
+
+    What a failed rule covers is left aside, and the next one grows on the rest.
+    """
     rules: list[Rule] = []
     rows = np.arange(len(bad))
-    while len(rules) < most_rules and bad[rows].any():
+    for _ in range(2 * most_rules):
         grow, prune = rows[rows % 3 != 0], rows[rows % 3 == 0]
-        rule = _grow(figures, bad, grow, cuts, longest)
-        rule, right = _prune(rule, figures, bad, prune)
-        hit = covers(rule, figures, rows)
-        if not rule or right < precision or bad[hit].sum() < least_covered:
+        grown = _grow(figures, bad, grow, cuts, longest)
+        if not grown or len(rules) == most_rules:
             break
-        rules.append(rule)
+        rule, right = _prune(grown, figures, bad, prune)
+        hit = covers(rule, figures, rows)
+        if right >= precision and bad[hit].mean() >= precision and bad[hit].sum() >= least_covered:
+            rules.append(rule)
+        else:
+            hit = covers(grown, figures, rows)
         rows = np.setdiff1d(rows, hit, assume_unique=True)
     return rules
 
@@ -231,7 +240,7 @@ def verdict(rules: list[Rule]) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn from ``labels`` (doc_id, quality; 0 is to be rejected), at most ``sample_rows`` ids.
 
-    The ids come in the order of a hash, so the sample is the same on every run. Only
+    Rows that the base rules reject teach nothing. The ids come in the order of a hash, so the sample is the same on every run. Only
     the sampled rows' figures reach the driver.
     """
     marked = (
@@ -243,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         F.broadcast(sample), "doc_id"
     )
-    table = statistics(rows, "_quality").orderBy(F.xxhash64("doc_id"), *COUNTS).limit(sample_rows)
+    table = statistics(rows, "_quality").filter(~base_failed()).orderBy(F.xxhash64("doc_id"), *COUNTS).limit(sample_rows)
     seen = table.toPandas()
     if seen.empty:
         return []
@@ -254,11 +263,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     return learn(figures, seen["_quality"].to_numpy() == 0)
 
 
-def judge(stats: DataFrame, rules: list[Rule], least_words: int = 50, repeat_percent: int = 50) -> DataFrame:
+def base_failed() -> Column:
+    """Too short, or mostly repeated windows of words."""
+    repeated = 100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
+    return (F.col("n_words") < LEAST_WORDS) | repeated
+
+
+def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add base_failed, rule (number of the rule that rejects, or null) and kept."""
-    failed = (F.col("n_words") < least_words) | (
-        100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words")
-    )
-    return stats.withColumns({"base_failed": failed, "rule": verdict(rules)}).withColumn(
+    return stats.withColumns({"base_failed": base_failed(), "rule": verdict(rules)}).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull()
     )

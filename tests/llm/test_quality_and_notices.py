@@ -118,12 +118,13 @@ def test_phrases_and_notices(spark):
     for i in range(150):
         words, label = rng.choice(list(N.NOTICES.items()))
         noisy = list(words)
-        for _ in range(rng.randrange(len(words) // N.CHARS_PER_ERROR + 1)):
+        errors = N.notice(words, label).errors
+        for _ in range(rng.randrange(errors + 1)):
             k = rng.randrange(len(noisy))
             noisy[k : k + 1] = rng.choice([[], ["q"], ["q", noisy[k]]])
         before = " ".join(rng.choice(["lorem", "the", "é", "x1"]) for _ in range(rng.randrange(30)))
         plain = " ".join("".join(noisy).split())
-        if edit_distance(plain, words) <= len(words) // N.CHARS_PER_ERROR:
+        if edit_distance(plain, words) <= errors:
             expected[len(rows)] = label
         rows.append(f"{before} {''.join(noisy)} and more {before}".upper() if i % 2 else f"{before}\n{''.join(noisy)}.")
     docs = spark.createDataFrame([(i, t, "q") for i, t in enumerate(rows)], "doc_id bigint, text string, labels string")
@@ -137,7 +138,7 @@ def test_phrases_and_notices(spark):
         for n in r.notices:
             phrase = next(p for p, label in N.NOTICES.items() if label == n.label)
             span = " ".join(words[n.start_word : n.end_word + 1])
-            assert n.edits <= len(phrase) // N.CHARS_PER_ERROR
+            assert n.edits <= N.MOST_ERRORS
             assert abs(len(span) - len(phrase)) <= 12 and edit_distance(span, phrase) <= n.edits + 12
     assert N.scan(docs.limit(0)).count() == 0
 

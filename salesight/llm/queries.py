@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesight.llm import (
     decontaminate,
+    line_dedup,
     mixing,
     notices,
     quality_rules,
@@ -55,6 +56,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept", "rule")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(documents(spark, sf_dir))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(
@@ -84,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op2_decontaminate": op2_decontaminate,
         "op3_source_mix": op3_source_mix,
         "op4_quality_rules": op4_quality_rules,
+        "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
         "op8_license_scan": op8_license_scan,
         "op10_token_counts": op10_token_counts,

@@ -13,6 +13,7 @@ from salesight.llm import (
     line_dedup,
     mixing,
     notices,
+    page_diff,
     quality_rules,
     simhash,
     substring_dedup,
@@ -67,6 +68,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_diff.extract(table(spark, sf_dir, "pages"))
+    n_chars = F.length("text").cast("bigint").alias("n_chars")
+    return found.select("page_id", "url", "text", n_chars, "n_shared")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = notices.scan(documents(spark, sf_dir))
     both = F.concat("base_labels", F.transform("notices", lambda n: n.getField("label")))
@@ -91,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
+        "op7_page_text": op7_page_text,
         "op8_license_scan": op8_license_scan,
         "op10_token_counts": op10_token_counts,
     }

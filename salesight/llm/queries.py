@@ -18,6 +18,7 @@ from salesight.llm import (
     simhash,
     substring_dedup,
     token_counts,
+    toxicity,
 )
 from salesight.llm.tables import write_table
 from salesight.session import tune
@@ -85,6 +86,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.token_counts(documents(spark, sf_dir), path)
@@ -100,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op6_simhash": op6_simhash,
         "op7_page_text": op7_page_text,
         "op8_license_scan": op8_license_scan,
+        "op9_toxicity": op9_toxicity,
         "op10_token_counts": op10_token_counts,
     }
 

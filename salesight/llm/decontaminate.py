@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,23 +156,27 @@ def _block(items: DataFrame) -> Seeds:
     return seeds(ids, np.concatenate([*hashes, np.zeros(0, np.uint64)]), np.concatenate(bounds))
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """One row for each row of ``docs`` and test item that overlap: doc_id, item_id, the first
-    and last word covered (words of the document from 0), and the equal words in between."""
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
+    """The benchmark's seeds, a block of items at a time, on every worker."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(
         "text IS NOT NULL"
     )
     items = items.distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    found = [spark.createDataFrame([], SCHEMA)]
     for block in range(blocks):
         mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
-        shared = spark.sparkContext.broadcast(_block(items.filter(mine)))
+        yield items.sparkSession.sparkContext.broadcast(_block(items.filter(mine)))
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """One row for each row of ``docs`` and test item that overlap: doc_id, item_id, the first
+    and last word covered (words of the document from 0), and the equal words in between."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = []
+    for shared in _blocks(benchmark, block_bytes):
 
         def step(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
             test, ids = shared.value, batch.column(0)
@@ -189,10 +194,21 @@ def contaminated(
                     )
 
         found.append(map_batches(rows, step, SCHEMA))
-    return reduce(DataFrame.unionAll, found[1:] or found)
+    return reduce(DataFrame.unionAll, found or [docs.sparkSession.createDataFrame([], SCHEMA)])
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that no test item overlaps; rows without an id stay."""
-    leaks = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no test item overlaps."""
+    for shared in _blocks(benchmark, block_bytes):
+
+        def step(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
+            clean = np.ones(batch.num_rows, bool)
+            for chunk in T.chunks(batch.column("text")):
+                for hit in matches(shared.value, *tokens(chunk)):
+                    clean[chunk.first + hit[0]] = False
+            yield batch.filter(pa.array(clean))
+
+        docs = map_batches(docs, step, docs.schema)
+    return docs

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from salesight.llm import text as T
 from salesight.llm.tables import map_batches, records
@@ -120,8 +121,8 @@ def statistics(docs: DataFrame, *also: str) -> DataFrame:
             yield records(**columns, **{c: np.concatenate([m[c] for m in made]) for c in COUNTS})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *also, "text")
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return map_batches(rows, step, f"{kept}, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    return map_batches(rows, step, S.StructType([*kept, *(S.StructField(c, S.LongType()) for c in COUNTS)]))
 
 
 class Condition(NamedTuple):
@@ -274,3 +275,10 @@ def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     return stats.withColumns({"base_failed": base_failed(), "rule": verdict(rules)}).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull()
     )
+
+
+def keep_documents(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that neither the base rules nor ``rules`` reject."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", whole.alias("_row"), "text")
+    return judge(statistics(rows, "_row"), rules).filter("kept").select("_row.*")

@@ -18,12 +18,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesight.llm import text as T
 from salesight.llm.components import components
-from salesight.llm.tables import map_batches, records, write_table
+from salesight.llm.tables import map_batches, records, text_key, write_table
 
 SEED = 42
 BLOCKS = 6
@@ -65,15 +65,17 @@ def majority_bits(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and fingerprint ``fp`` (a signed 64-bit integer) of every row."""
+    """doc_id, tk and fingerprint ``fp`` (a signed 64-bit integer) of every row."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        made = [majority_bits(*shingle_hashes(c, width)) for c in T.chunks(batch.column(1))]
+        made = [majority_bits(*shingle_hashes(c, width)) for c in T.chunks(batch.column(2))]
         if made:
-            yield records(doc_id=batch.column(0), fp=T.signed(np.concatenate(made)))
+            yield records(doc_id=batch.column(0), tk=batch.column(1), fp=T.signed(np.concatenate(made)))
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_batches(rows, step, "doc_id bigint, fp bigint")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("tk"), "text"
+    )
+    return map_batches(rows, step, "doc_id bigint, tk bigint, fp bigint")
 
 
 def block_masks(distance: int, blocks: int = BLOCKS) -> list[int]:
@@ -107,16 +109,37 @@ def close_pairs(fps: DataFrame, distance: int = 3, blocks: int = BLOCKS) -> Data
 def near_duplicates(
     docs: DataFrame, width: int = 3, distance: int = 3, blocks: int = BLOCKS
 ) -> DataFrame:
-    """doc_id, fp, component_id (the smallest id reachable over links) for every row."""
+    """doc_id, tk, fp and the component of every row: component_id, the smallest id reachable
+    over links, and ``first``, the row (unnamed, doc_id, tk) that comes first in it."""
     rows = write_table(fingerprints(docs, width), "fingerprints")
-    distinct = write_table(rows.groupBy("fp").agg(F.min("doc_id").alias("lo")), "distinct-fp")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
+    distinct = write_table(
+        rows.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.min(place).alias("first")), "distinct-fp"
+    )
     linked = components(close_pairs(distinct.select("fp"), distance, blocks))
     roots = distinct.join(linked, distinct.fp == linked.u, "left").select(
-        "fp", "lo", F.coalesce("root", "fp").alias("root")
+        "fp", "lo", "first", F.coalesce("root", "fp").alias("root")
+    )
+    least = roots.groupBy("root").agg(F.min("lo").alias("component_id"), F.min("first").alias("first"))
+    named = roots.select("fp", "root").join(least, "root").drop("root")
+    return rows.join(named, "fp").select("doc_id", "tk", "fp", "component_id", "first")
+
+
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, blocks: int = BLOCKS) -> DataFrame:
+    """``docs``, with all their columns, reduced to the first row of each component.
+
+    Rows come by id, null last, then by a hash of the text; of rows equal in both one stays.
+    """
+    found = near_duplicates(docs, width, distance, blocks)
+    here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
+    kept = found.filter(here == F.col("first")).select(
+        F.col("doc_id").alias("_d"), F.col("tk").alias("_t")
     )
-    least = roots.groupBy("root").agg(F.min("lo").alias("component_id"))
-    named = roots.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    kept = write_table(kept.distinct(), "first-of-component")
+    same = docs.doc_id.cast("bigint").eqNullSafe(F.col("_d")) & (text_key(docs.text) == F.col("_t"))
+    joined = docs.join(kept, same)
+    equal = Window.partitionBy("_d", "_t").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    return joined.withColumn("_nth", F.row_number().over(equal)).filter("_nth = 1").select(*docs.columns)
 
 
 def fingerprint_text(fp: Column) -> Column:

@@ -8,6 +8,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesight.sources.staging import staged_path
 
@@ -24,7 +25,9 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    step: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` with a function of one batch; Spark bounds a batch in rows and bytes."""
 

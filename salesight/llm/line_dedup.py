@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from salesight.llm import text as T
-from salesight.llm.tables import map_batches, pack_texts, records, text_key, unpack, write_table
+from salesight.llm.tables import map_batches, records, text_key, write_table
 
 DISTANCE = 1
 LEAST_CHARS = 20
+#: 64-bit words of the set that picks the lines to compare (8 MB).
+SIEVE_WORDS = 1 << 20
 
 _BAND = 64
 _FULL = (1 << _BAND) - 1
@@ -222,23 +224,41 @@ def candidates(rows: DataFrame, distance: int) -> DataFrame:
     return met.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
-def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """line and its text, for lines given with their first place (line, doc_id, tk, ln)."""
-    asked = wanted.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("ln", "line")).alias("asked"))
-    asked = asked.select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), "asked")
-    texts = pack_texts(docs).dropDuplicates(["doc_id", "tk"])
+def sieve(lines: DataFrame) -> np.ndarray:
+    """A bit set of fixed size that holds every line's hash, to pass over most other lines.
+
+    At most ``SIEVE_WORDS`` rows reach the driver, however many lines there are.
+    """
+    word = F.shiftrightunsigned("line", 6).bitwiseAND(F.lit(SIEVE_WORDS - 1)).cast("int")
+    bit = F.expr("shiftleft(1L, cast(line & 63 as int))")
+    rows = lines.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    made = np.zeros(SIEVE_WORDS, np.uint64)
+    made[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return made
+
+
+def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """line and its text, once for each line of ``wanted`` (line).
+
+    Texts are cut into lines where they are read; only lines that the sieve lets through
+    are shuffled, and the join leaves out those it let through by chance.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(wanted))
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, found = [], []
-        for packed, asked in zip(batch.column(0), batch.column(1), strict=True):
-            lines = unpack(packed).split("\n")
-            for one in asked.as_py():
-                ids.append(one["line"])
-                found.append(lines[one["ln"]].strip(" \t\n\v\f\r"))
-        yield records(line=pa.array(ids, pa.int64()), words=pa.array(found, pa.string()))
+        bits, seen, one = shared.value, np.zeros(0, np.uint64), np.uint64(1)
+        for chunk in T.chunks(batch.column(0)):
+            lines = Lines(chunk)
+            word = (lines.ids >> np.uint64(6)) & np.uint64(SIEVE_WORDS - 1)
+            held = np.flatnonzero(bits[word.astype(np.int64)] >> (lines.ids & np.uint64(63)) & one)
+            ids, first = np.unique(lines.ids[held], return_index=True)
+            new = ~np.isin(ids, seen)
+            seen, at, raw = np.concatenate([seen, ids[new]]), held[first[new]], chunk.data.tobytes()
+            words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(lines.starts[at].tolist(), lines.ends[at].tolist(), strict=True)]
+            yield records(line=T.signed(ids[new]), words=pa.array(words, pa.string()))
 
-    joined = texts.join(asked, texts.doc_id.eqNullSafe(F.col("d")) & (texts.tk == F.col("t")))
-    return map_batches(joined.select("packed", "asked"), step, "line bigint, words string")
+    found = map_batches(docs.select("text"), step, "line bigint, words string")
+    return found.join(wanted, "line", "left_semi").dropDuplicates(["line"])
 
 
 def _verify(batch: pa.RecordBatch, distance: int) -> Iterator[pa.RecordBatch]:
@@ -250,15 +270,12 @@ def _verify(batch: pa.RecordBatch, distance: int) -> Iterator[pa.RecordBatch]:
     yield records(u=kept.column(0), v=kept.column(1))
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
-    """Every pair u, v of distinct lines within 1 to ``distance`` edits, once.
-
-    ``firsts`` has each distinct line's first place (line, doc_id, tk, ln).
-    """
+def near_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+    """Every pair u, v of distinct lines within 1 to ``distance`` edits, once."""
     rows = write_table(segments(docs, distance, least), "segments")
     pairs = write_table(candidates(rows, distance), "line-pairs")
-    named = pairs.select(F.explode(F.array("u", "v")).alias("line")).distinct()
-    texts = write_table(_line_texts(docs, firsts.join(named, "line")), "line-texts")
+    named = write_table(pairs.select(F.explode(F.array("u", "v")).alias("line")).distinct(), "near-lines")
+    texts = write_table(line_texts(docs, named), "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("u"), F.col("words").alias("a")), "u").join(
         texts.select(F.col("line").alias("v"), F.col("words").alias("b")), "v"
     )
@@ -273,8 +290,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST
     firsts = write_table(
         found.groupBy("line").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")), "first-lines"
     )
-    named = firsts.select("line", "place.doc_id", "place.tk", "place.ln")
-    links = near_lines(docs, named, distance, least)
+    links = near_lines(docs, distance, least)
     linked = links.select(F.col("u").alias("line"), F.col("v").alias("other")).unionByName(
         links.select(F.col("v").alias("line"), F.col("u").alias("other"))
     )
@@ -283,7 +299,8 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST
         firsts.select(F.col("line").alias("other"), F.col("place").alias("other_place")), "other"
     ).groupBy("line").agg(F.min("other_place").alias("near"))
     verdicts = firsts.join(earlier, "line", "left").filter("n > 1 OR near < place")
-    verdicts = verdicts.select("line", F.col("place").alias("own"), "near")
+    # written, so that the join deals both sides itself and can split a hot line
+    verdicts = write_table(verdicts.select("line", F.col("place").alias("own"), "near"), "line-verdicts")
     placed = found.withColumn("place", place).join(verdicts, "line")
     gone = placed.filter("place > own OR near < place")
     return gone.groupBy("doc_id", "tk").agg(

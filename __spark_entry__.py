@@ -68,6 +68,14 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.cast_columns(scanned)
 
 
+def _scan_csv_decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV scan where whole numbers are written with decimals."""
+    path = staged_path(spark, "csv")
+    dotted = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("Order ID", "Quantity")}
+    files.write_table(raw(spark, sf_dir).withColumns(dotted), path, fmt="csv")
+    return prepare.cast_columns(prepare.snake_case_columns(files.read_sales(spark, path)))
+
+
 def _cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = _named(spark, sf_dir)
     return prepare.cast_columns(named.select(*[F.col(c).cast("string") for c in named.columns]))
@@ -171,12 +179,13 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         # scans, prepared columns and profile of the raw table
         "scan_csv": _scan_csv,
+        "scan_csv_decimal_text": _scan_csv_decimal_text,
         "snake_case": _on(_named, _money_as_double),
         "cast_types": _cast_types,
         "row_count": _on(_named, files.row_count),
         "clean_row_count": _on(clean, files.row_count),
         "size_gate": _on(raw, quality.size_gate),
-        "preview": _on(_named, lambda df: _money_as_double(quality.preview(df))),
+        "preview": _on(_named, lambda df: _money_as_double(quality.preview(df, ordered=True))),
         "schema_report": _on(typed, quality.schema_report),
         "parse_dates": _on(
             typed,
@@ -215,6 +224,9 @@ def queries() -> dict[str, Query]:
         "value_counts": _on(
             clean, aggregate.value_counts, ("category", "sub_category", "region", "state")
         ),
+        "value_counts_top": _on(
+            clean, aggregate.value_counts, ("category", "state", "quantity"), n=10
+        ),
         "describe_measures": _describe,
         "describe_measures_approx": _on(clean, describe.describe),
         "kpi_totals": _on(clean, overviews.kpi_totals),

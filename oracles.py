@@ -88,7 +88,7 @@ SHARES = ", ".join(
     for c, name in (("rev", "revenue_share_pct"), ("prof", "profit_share_pct"))
 )
 RANKS = ", ".join(
-    f"CAST(rank() OVER (ORDER BY {c} DESC NULLS LAST) AS INTEGER) AS {name}_rank"
+    f"rank() OVER (ORDER BY {c} DESC NULLS LAST) AS {name}_rank"
     for c, name in (("rev", "revenue"), ("prof", "profit"), ("m", "margin"))
 )
 PER_ORDER = (
@@ -102,14 +102,14 @@ def _overview(key: str, columns: str, source: str = "clean") -> str:
 
 def _tier(low: int, high: int) -> str:
     return (
-        f"CASE WHEN unit_price >= {high} THEN 'Premium ({high}+)' "
-        f"WHEN unit_price >= {low} THEN 'Mid-Range ({low}-{high})' ELSE 'Budget (<{low})' END"
+        f"CASE WHEN unit_price < {low} THEN 'Budget (<{low})' "
+        f"WHEN unit_price < {high} THEN 'Mid-Range ({low}-{high})' ELSE 'Premium ({high}+)' END"
     )
 
 
 def _counts(cols: tuple[str, ...], source: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {c} AS value, COUNT(*) AS row_count FROM {source} GROUP BY {c}"
+        f"SELECT '{c}' AS column_name, {c}::VARCHAR AS value, COUNT(*) AS row_count FROM {source} GROUP BY {c}"
         for c in cols
     )
 
@@ -170,6 +170,7 @@ def oracle_sql() -> dict[str, str]:
 
     # Scans, prepared columns and profile of the raw table.
     sql["scan_csv"] = f"{ON_RAW} SELECT {_text_columns()} FROM raw"
+    sql["scan_csv_decimal_text"] = sql["scan_csv"]
     sql["snake_case"] = f"{ON_RAW} SELECT {_text_columns()} FROM raw"
     sql["cast_types"] = f"{ON_RAW} SELECT {_text_columns()} FROM raw"
     sql["row_count"] = f"{ON_RAW} SELECT COUNT(*) AS row_count FROM raw"
@@ -233,6 +234,9 @@ def oracle_sql() -> dict[str, str]:
                round((b - a)::DOUBLE / NULLIF(b, 0) * 100, 2) AS removal_pct FROM c"""
     sql["price_tier"] = f"""{ON_CLEAN} SELECT order_id, product_name, unit_price,
         {_tier(1500, 3500)} AS price_tier FROM clean"""
+    sql["value_counts_top"] = f"""{ON_CLEAN}, counted AS ({_counts(("category", "state", "quantity"), "clean")})
+        SELECT column_name, value, row_count FROM counted QUALIFY row_number() OVER (
+            PARTITION BY column_name ORDER BY row_count DESC, value) <= 10"""
     sql["value_counts"] = (
         f"{ON_CLEAN} " + _counts(("category", "sub_category", "region", "state"), "clean")
     )
@@ -308,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
     sql["q05"] = (
         _overview(
             "sub_category, category",
-            f"{MONEY_MARGIN}, CAST(rank() OVER (ORDER BY m DESC NULLS LAST) AS INTEGER) AS margin_rank",
+            f"{MONEY_MARGIN}, rank() OVER (ORDER BY m DESC NULLS LAST) AS margin_rank",
         )
         + " ORDER BY round(m, 2) DESC NULLS LAST, sub_category, category LIMIT 10"
     )
@@ -333,8 +337,8 @@ def oracle_sql() -> dict[str, str]:
                AS mom_growth_pct FROM l"""
     sql["q09"] = _overview(
         "region, category",
-        f"""{MONEY}, qty AS total_quantity, CAST(rank() OVER (PARTITION BY region
-        ORDER BY rev DESC) AS INTEGER) AS rank_in_region""",
+        f"""{MONEY}, qty AS total_quantity, rank() OVER (PARTITION BY region
+        ORDER BY rev DESC) AS rank_in_region""",
     )
     sql["q10"] = _overview(
         "state, region",

@@ -24,15 +24,19 @@ REVIEW = "Corrective action: review pricing/cost"
 
 
 def tier_labels(cuts: Sequence[float] = PRICE_CUTS) -> list[str]:
-    """Tier names in price order for two cut points."""
-    low, high = cuts
-    return [f"Budget (<{low})", f"Mid-Range ({low}-{high})", f"Premium ({high}+)"]
+    """Tier names in price order, one more than cut points."""
+    if not cuts:
+        return ["All prices"]
+    bounds = list(zip(cuts, cuts[1:], strict=False))
+    middle = "Mid-Range" if len(bounds) == 1 else "Tier {n}"
+    between = [f"{middle.format(n=n)} ({a}-{b})" for n, (a, b) in enumerate(bounds, 2)]
+    return [f"Budget (<{cuts[0]})", *between, f"Premium ({cuts[-1]}+)"]
 
 
 def tier_number(price: Column, cuts: Sequence[float] = PRICE_CUTS) -> Column:
     """1-based tier: a price equal to a cut belongs to the tier above it."""
     above = [F.when(price < F.lit(cut), 0).otherwise(1) for cut in cuts]
-    return sum(above[1:], above[0]) + F.lit(1)
+    return sum(above, F.lit(1))
 
 
 def price_tier(price: Column, cuts: Sequence[float] = PRICE_CUTS) -> Column:

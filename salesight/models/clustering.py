@@ -22,7 +22,7 @@ from ..operators.aggregate import (
 from ..operators.quality import require_non_null
 from ..operators.sampling import sample_rows
 from ..sources.staging import stage
-from .features import scores_as_columns, standardize
+from .features import laid_out, scores_as_columns, standardize
 
 # Clustering features and settings.
 FEATURES = ("revenue", "profit", "quantity", "unit_price", "profit_margin_pct")
@@ -30,8 +30,8 @@ ELBOW = range(2, 9)
 CLUSTERS = 4
 SEED = 42
 SAMPLE_FRACTION = 0.05
-SAMPLE_CAP = 10_000
 
+# Output columns of profiles.
 AVERAGES = {
     "avg_revenue": "revenue",
     "avg_profit": "profit",
@@ -44,11 +44,12 @@ def cluster_input(sales: DataFrame, keep: Sequence[str] = ("order_id", "category
     """Staged rows with complete features, plus the standardised vector.
 
     K-Means re-reads its input per iteration: the narrow table is written once and
-    sorted inside its files, so the same data gives the same start centres.
+    kept in a layout that follows from its rows, so the same data gives the same start
+    centres on any cluster, and all fits share one copy.
     """
     numbers = [F.col(c).cast("double").alias(c) for c in FEATURES]
     narrow = require_non_null(sales, FEATURES).select(*keep, *numbers)
-    rows = stage(narrow, "clusters", sort_within=narrow.columns).frame
+    rows = laid_out(stage(narrow, "clusters").frame)
     return standardize(rows, FEATURES)[0].drop("features_raw")
 
 
@@ -57,10 +58,9 @@ def kmeans_elbow(
 ) -> DataFrame:
     """Within-cluster sum of squares per k.
 
-    Fits run side by side; each caches its vectors while it iterates, so
-    ``parallelism`` also sets how many copies the cluster holds at a time.
+    The vectors are kept once and shared by all fits, which run side by side.
     """
-    vectors = rows.select("features")
+    vectors = rows.select("features").persist()
 
     @inheritable_thread_target(rows.sparkSession)
     def cost(k: int) -> tuple[int, float]:
@@ -69,6 +69,7 @@ def kmeans_elbow(
 
     with ThreadPool(parallelism) as pool:
         found = pool.map(cost, list(ks))
+    vectors.unpersist()
     return rows.sparkSession.createDataFrame(found, "k int, wcss double").orderBy("k")
 
 
@@ -138,8 +139,8 @@ def pca_variance(rows: DataFrame, k: int = 2) -> DataFrame:
 def pca_feed(
     scores: DataFrame,
     fraction: float = SAMPLE_FRACTION,
-    cap: int = SAMPLE_CAP,
+    cap: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """Sampled scatter points for a chart."""
+    """Sampled scatter points for a chart; ``cap`` limits them to the first ones by hash."""
     return sample_rows(scores, fraction, seed, cap)

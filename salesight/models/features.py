@@ -11,23 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import group_counts
+from ..operators.ordering import running_before
 from ..sources.staging import stage
 
 CATEGORICAL = ("category", "sub_category", "region")
 NUMERIC = ("quantity", "unit_price", "revenue")
 LABEL = "profit"
 
-# Labels become vector slots on every row, and the fitted list lives on the driver.
-MAX_LABELS = 50_000
-
-
-def check_label_counts(df: DataFrame, cols: Sequence[str], most: int = MAX_LABELS) -> None:
-    """Refuse to index a column with more labels than a vector should have slots."""
-    counted = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    wide = {c: counted[c] for c in cols if counted[c] > most}
-    if wide:
-        raise ValueError(f"too many distinct labels to one-hot encode: {wide}")
-
+#: Rows of a partition that models train on, about.
+ROWS_EACH = 100_000
 
 def encoding_stages(categorical: Sequence[str] = CATEGORICAL) -> list[Estimator]:
     """One indexer and one encoder for all columns.
@@ -55,38 +47,65 @@ def feature_pipeline(
     return Pipeline(stages=[*encoding_stages(categorical), assembler, *last])
 
 
-def _encoded(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per row and column: name, label, index and one-hot slot."""
-    rows = stage(df.select(*cols), "labels").frame
-    encoded = one_hot(rows, cols)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(c).alias("label"),
-                F.col(f"{c}_idx").cast("int").alias("label_index"),
-                (F.array_position(vector_to_array(f"{c}_vec"), 1.0) - 1).cast("int").alias("slot"),
-            )
-            for c in cols
-        ]
+def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """column_name, label, label_index, row_count of every label.
+
+    Labels go by frequency, ties by name. The index is a distributed running count over
+    the counted labels, so neither the rows nor the labels meet in one place.
+    """
+    labels = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    counts = group_counts(
+        labels.unpivot([], list(cols), "column_name", "label").where("label IS NOT NULL"),
+        ["column_name", "label"],
+    )
+    order = [F.desc("row_count"), F.col("label")]
+    placed = running_before(counts, order, F.lit(1), "label_index", ["column_name"])
+    return placed.select(
+        "column_name", "label", F.col("label_index").cast("int").alias("label_index"), "row_count"
     )
-    return encoded.select(F.inline(entries))
 
 
 def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Encode the columns; adds ``<column>_vec`` (and the index behind it)."""
-    check_label_counts(df, cols)
-    return Pipeline(stages=encoding_stages(cols)).fit(df).transform(df)
+    """Encode the columns; adds ``<column>_vec`` (sparse) and the index behind it.
 
+    A NULL gets an index of its own, the slot the encoder leaves out.
+    """
+    table = stage(label_index(df, cols), "label-index").frame
+    most = {r.column_name: r.n for r in table.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    for c in cols:
+        own = table.where(F.col("column_name") == c).select(
+            F.col("label").alias("_label"), F.col("label_index").cast("double").alias(f"{c}_idx")
+        )
+        df = df.join(own, F.col(c).cast("string") == F.col("_label"), "left").drop("_label")
+        index = F.coalesce(f"{c}_idx", F.lit(float(most.get(c, 0))))
+        names = _nominal(c, most.get(c, 0) + 1)
+        df = df.withColumn(f"{c}_idx", index).withMetadata(f"{c}_idx", names)
+    index, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
+    return OneHotEncoder(inputCols=index, outputCols=vectors).fit(df).transform(df)
 
-def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Index and row count of every label, from the indexed rows."""
-    return group_counts(_encoded(df, cols), ["column_name", "label", "label_index"])
+
+def _nominal(name: str, n: int) -> dict:
+    """Column metadata that states the number of labels, so that the encoder need not count."""
+    return {"ml_attr": {"type": "nominal", "name": f"{name}_idx", "num_vals": n}}
 
 
 def one_hot_totals(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Rows that set each vector slot, with the label behind it."""
-    return group_counts(_encoded(df, cols), ["column_name", "label", "slot"], "ones")
+    return label_index(df, cols).select(
+        "column_name", "label", F.col("label_index").alias("slot"), F.col("row_count").alias("ones")
+    )
+
+
+def laid_out(df: DataFrame, rows_each: int = ROWS_EACH) -> DataFrame:
+    """The rows in a layout that follows from them alone, kept in memory and on disk.
+
+    Training depends on which rows share a partition and on their order (start centres,
+    bags of rows, sums). Here both follow from the rows: a hash deals them into a number
+    of partitions that only their count decides, and partitions are sorted.
+    """
+    parts = max(1, -(-df.count() // rows_each))
+    dealt = df.repartition(parts, F.xxhash64(*df.columns))
+    return dealt.sortWithinPartitions(*df.columns).persist()
 
 
 def standardize(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sampling import train_test_split
 from ..sources.staging import stage
-from .features import CATEGORICAL, LABEL, NUMERIC, check_label_counts, feature_pipeline
+from .features import CATEGORICAL, LABEL, NUMERIC, feature_pipeline, laid_out
 
 # Model settings.
 TREES = 100
@@ -24,14 +24,13 @@ def regression_input(sales: DataFrame, fraction: float = 0.8, seed: int = SEED)
     """Narrow, split and staged training table.
 
     Training reads its input several times, so the few columns it needs are
-    written once; the split is taken on whole rows before the rest is dropped.
+    written once and laid out by their values; the split is taken on whole rows
+    before the rest is dropped.
     """
     split = train_test_split(sales, fraction, seed)
     numbers = [F.col(c).cast("double").alias(c) for c in (*NUMERIC, LABEL)]
     narrow = split.select("split", *CATEGORICAL, *numbers)
-    rows = stage(narrow, "regression", sort_within=["split", *INPUTS]).frame
-    check_label_counts(rows, CATEGORICAL)
-    return rows
+    return laid_out(stage(narrow, "regression").frame)
 
 
 def part(rows: DataFrame, split: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import margin_pct, ratio, round2
@@ -15,18 +15,22 @@ def group_counts(df: DataFrame, keys: Sequence[str], out: str = "row_count") ->
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
-    """Rows per value of each column, largest first, for all columns in one scan.
+    """Rows per value (as text) of each column, largest first, for all columns in one scan.
 
-    ``n`` asks for the first rows of a single column's list.
+    ``n`` keeps the first values of every column; Spark drops the others before it
+    shuffles the counts by column.
     """
     counts = (
-        df.select(*cols)
+        df.select(*[F.col(c).cast("string").alias(c) for c in cols])
         .unpivot([], list(cols), "column_name", "value")
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy("column_name", F.desc("row_count"), "value")
     )
-    return counts if n is None else counts.limit(n)
+    if n is not None:
+        best = Window.partitionBy("column_name").orderBy(F.desc("row_count"), "value")
+        counts = counts.withColumn("_place", F.row_number().over(best))
+        counts = counts.where(F.col("_place") <= n).drop("_place")
+    return counts.orderBy("column_name", F.desc("row_count"), "value")
 
 
 def group_kpis(df: DataFrame, keys: Sequence[str]) -> DataFrame:

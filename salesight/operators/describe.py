@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .ordering import ONE_TASK_ROWS, running_before
+from .ordering import running_before
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 DESCRIBED = ("quantity", "unit_price", "revenue", "profit", "profit_margin_pct")
@@ -35,44 +35,70 @@ def _approximate(long: DataFrame, accuracy: int) -> DataFrame:
     return stats.withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES)}).drop("_q")
 
 
-def _exact(long: DataFrame, one_task_rows: int) -> DataFrame:
-    """All figures from the counts of distinct values, so ``long`` is read once.
+def _exact(rows: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
+    """True quartiles from the few rows around the approximate ones.
 
-    The value at 0-based position p is the one whose running count passes p:
-    each quartile is a filter on a distributed running total, whatever the number
-    of distinct values.
+    An approximate percentile is off by at most 1 / ``accuracy`` of the rows, so the
+    two that lie twice as far to either side bracket a quartile; where that is less than
+    a few rows, the extremes do. One more scan counts the rows below each bracket and
+    keeps those inside; only these are put in order.
     """
-    counts = long.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
-    staged = stage(counts, "value_counts")
-    order = [F.col("measure"), F.col("value")]
-    running = running_before(staged, order, F.col("n"), "ahead", one_task_rows)
-    totals = staged.frame.groupBy("measure").agg(
-        F.sum("n").alias("row_count"),
-        F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    long = _long(stage(rows, "measures").frame, cols)
+    wide = 2 / accuracy
+    ends = [end for q in QUARTILES.values() for end in (max(0.0, q - wide), min(1.0, q + wide))]
+    found = F.percentile_approx("value", ends, accuracy)
+    # One row per described column, read several times.
+    stats = stage(long.groupBy("measure").agg(*_moments(), found.alias("_ends")), "moments").frame
+
+    few = F.col("row_count") < 4 * accuracy
+    brackets = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("quartile"),
+                ((F.col("row_count") - 1) * F.lit(fraction)).alias("place"),
+                F.when(few, F.col("min")).otherwise(F.col("_ends")[2 * i]).alias("low"),
+                F.when(few, F.col("max")).otherwise(F.col("_ends")[2 * i + 1]).alias("high"),
+            )
+            for i, (name, fraction) in enumerate(QUARTILES.items())
+        ]
+    )
+    bracketed = long.join(F.broadcast(stats.select("measure", brackets.alias("b"))), "measure")
+    numbers = range(len(QUARTILES))
+    below = bracketed.groupBy("measure").agg(
+        *[F.count_if(F.col("value") < F.col("b")[i]["low"]).alias(f"_{i}") for i in numbers]
+    )
+    below = below.select(
+        "measure",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("quartile"), F.col(f"_{i}").alias("below"))
+                    for i, name in enumerate(QUARTILES)
+                ]
+            )
+        ),
     )
-    # One row per described column: a window over them and their broadcast are small.
-    earlier = Window.orderBy("measure").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("row_count").over(earlier), F.lit(0)))
-    placed = running.join(F.broadcast(totals), "measure")
-    first = F.col("ahead") - F.col("start")
+    held = F.filter("b", lambda e: F.col("value").between(e["low"], e["high"]))
+    inside = bracketed.select("measure", "value", F.explode(held).alias("e")).groupBy(
+        "measure", F.col("e.quartile").alias("quartile"), F.col("e.place").alias("place"), "value"
+    )
+    counts = inside.agg(F.count(F.lit(1)).alias("n"))
+    placed = running_before(counts, [F.col("value")], F.col("n"), "ahead", ["measure", "quartile"])
+    placed = placed.join(F.broadcast(below), ["measure", "quartile"])
+    first = F.col("below") + F.col("ahead")
 
     def at(position: Column) -> Column:
         covers = (position >= first) & (position < first + F.col("n"))
         return F.max(F.when(covers, F.col("value")))
 
-    def quartile(fraction: float) -> Column:
-        place = (F.col("row_count") - 1) * F.lit(fraction)
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        return low + (high - low) * F.max(place - F.floor(place))
-
-    squares = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2))
-    deviation = F.sqrt(F.try_divide(squares, F.max("row_count") - 1))
-    return placed.groupBy("measure", "row_count", "mean", "min", "max").agg(
-        deviation.alias("stddev"),
-        *[quartile(fraction).alias(name) for name, fraction in QUARTILES.items()],
+    low, high = at(F.floor("place")), at(F.ceil("place"))
+    values = placed.groupBy("measure", "quartile").agg(
+        (low + (high - low) * F.max(F.col("place") - F.floor("place"))).alias("value")
+    )
+    table = values.groupBy("measure").agg(
+        *[F.max(F.when(F.col("quartile") == name, F.col("value"))).alias(name) for name in QUARTILES]
     )
+    return stats.drop("_ends").join(table, "measure")
 
 
 def describe(
@@ -80,16 +106,18 @@ def describe(
     cols: Sequence[str] = DESCRIBED,
     exact: bool = False,
     accuracy: int = 10_000,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of each measure.
 
     The default reads the data once with approximate quartiles of the given
-    accuracy; ``exact`` interpolates true quartiles and costs a shuffle of the
-    distinct values.
+    accuracy; ``exact`` interpolates true quartiles and costs two more scans of the
+    described columns.
     """
-    long = _long(df, cols)
-    stats = _exact(long, one_task_rows) if exact else _approximate(long, accuracy)
+    numbers = df.select(*cols)
+    if exact:
+        stats = _exact(numbers, cols, accuracy)
+    else:
+        stats = _approximate(_long(numbers, cols), accuracy)
     return stats.select(
         "measure", "row_count", "mean", "stddev", "min", "q25", "q50", "q75", "max"
     )

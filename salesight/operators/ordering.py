@@ -1,33 +1,22 @@
 """Ranks, tiles, running totals, lags and top-k that hold at any number of groups.
 
-A window without partition keys sorts everything in one task. That is fine for a
-few thousand groups and impossible for a few billion, so the operators here write
-the grouped input once, look at its size and choose:
-
-* up to ``one_task_rows`` rows: the plain window;
-* beyond: rows are range-partitioned over the whole sort order (ties are split by
-  its last keys), every slice sums up on its own, and the slice totals (one row
-  per slice) give each slice its start.
-
-Both ways return the same rows.
+A window without partition keys sorts everything in one task, so none is used on
+rows. Instead, always: rows are range-partitioned over the whole sort order (ties are
+split by its last keys), every slice sums up on its own, and the slice totals give
+each slice its start. The session's shuffle partitions set the number of slices.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.measures import percent
 from ..sources.staging import Staged, settle, stage
 
-ONE_TASK_ROWS = 500_000
-MAX_SLICES = 10_000
-
 
 def _descending(column: str) -> Column:
     return F.col(column).desc_nulls_last()
@@ -45,136 +34,113 @@ def running_before(
     order: Sequence[Column],
     weight: Column,
     out: str,
-    one_task_rows: int = ONE_TASK_ROWS,
+    partition_by: Sequence[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
-    """Add the total weight of all rows that sort before each row.
+    """Add the total weight of all rows that sort before each row, by group if there are any.
 
-    ``order`` must be total (end it with a key) for the result to be unique.
+    ``order`` must be total (end it with a key) for the result to be unique. ``total``
+    names a column for the weight of all rows (of the group).
     """
-    staged = settle(df, "ordered")
-    before = (Window.unboundedPreceding, -1)
-
-    def total_before(window) -> Column:
-        return F.coalesce(F.sum(weight).over(window.rowsBetween(*before)), F.lit(0))
-
-    if staged.rows <= one_task_rows:
-        return staged.frame.withColumn(out, total_before(Window.orderBy(*order)))
-
-    tasks = int(staged.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = min(MAX_SLICES, max(tasks, math.ceil(staged.rows / one_task_rows) + 1))
-    ranged = staged.frame.repartitionByRange(slices, *order)
+    frame = df.frame if isinstance(df, Staged) else df
+    groups = list(partition_by)
+    ranged = frame.repartitionByRange(*[F.col(k).asc_nulls_first() for k in groups], *order)
     # Written, so that totals and rows are sure to see the same slices.
     cut = stage(ranged.withColumn("_slice", F.spark_partition_id()), "slices").frame
-    totals = cut.groupBy("_slice").agg(F.sum(weight).alias("_weight"))
-    earlier = F.sum("_weight").over(Window.orderBy("_slice").rowsBetween(*before))
-    starts = totals.select("_slice", F.coalesce(earlier, F.lit(0)).alias("_start"))
-    inside = cut.withColumn("_inside", total_before(Window.partitionBy("_slice").orderBy(*order)))
-    # At most MAX_SLICES rows are broadcast.
-    placed = inside.join(F.broadcast(starts), "_slice")
-    return placed.withColumn(out, F.col("_start") + F.col("_inside")).select(*staged.frame.columns, out)
+    before = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_slice", *groups).orderBy(*order).rowsBetween(*before)
+    rows = cut.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    # One row per slice and group in it: without groups, one for each shuffle partition.
+    totals = cut.groupBy("_slice", *groups).agg(F.sum(weight).alias("_weight"))
+    group = Window.partitionBy(*groups)
+    earlier = F.sum("_weight").over(group.orderBy("_slice").rowsBetween(*before))
+    figures = {"_start": F.coalesce(earlier, F.lit(0))}
+    if total:
+        figures["_total"] = F.sum("_weight").over(group)
+    starts = totals.withColumns(figures).drop("_weight")
+    placed = _join_same(rows, starts, ["_slice", *groups])
+    added = [(F.col("_start") + F.col("_inside")).alias(out)]
+    if total:
+        added.append(F.col("_total").alias(total))
+    return placed.select(*frame.columns, *added)
+
+
+def _rank_table(
+    frame: DataFrame, ranks: Mapping[str, str], partition_by: Sequence[str]
+) -> list[DataFrame]:
+    """For each rank its measure's distinct values (of each group) with their rank.
+
+    Rank = 1 + rows with a larger measure, from the counts of distinct values: tied
+    rows are one row here, so no tie is too large for a task. All ranks take one pass.
+    """
+    measures = list(ranks.values())
+    types = dict(frame.dtypes)
+
+    def entry(which: int) -> Column:
+        values = [
+            (F.col(m) if i == which else F.lit(None).cast(types[m])).alias(f"_v{i}")
+            for i, m in enumerate(measures)
+        ]
+        return F.struct(F.lit(which).alias("_which"), *values)
+
+    values = [f"_v{i}" for i in range(len(measures))]
+    long = frame.select(*partition_by, F.inline(F.array(*map(entry, range(len(measures))))))
+    counts = long.groupBy(*partition_by, "_which", *values).agg(F.count(F.lit(1)).alias("_n"))
+    order = [_descending(v) for v in values]
+    ahead = running_before(counts, order, F.col("_n"), "_ahead", [*partition_by, "_which"])
+    return [
+        ahead.where(F.col("_which") == i).select(
+            *partition_by, F.col(f"_v{i}").alias(m), (F.col("_ahead") + 1).alias(out)
+        )
+        for i, (out, m) in enumerate(ranks.items())
+    ]
 
 
-def _rank_by_counts(
-    df: DataFrame, measure: str, out: str, partition_by: Sequence[str], one_task_rows: int
+def _join_ranks(
+    rows: DataFrame, frame: DataFrame, ranks: Mapping[str, str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rank = 1 + rows with a larger measure, from the counts of distinct measures.
-
-    Tied rows are one row of counts, so no tie is too large for a task.
-    """
-    keys = [*partition_by, measure]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    order = [*[F.col(k).asc_nulls_first() for k in partition_by], _descending(measure)]
-    ahead = running_before(counts, order, F.col("_n"), "_ahead", one_task_rows)
-    if partition_by:
-        first = ahead.groupBy(*partition_by).agg(F.min("_ahead").alias("_first"))
-        ahead = _join_same(ahead, first, partition_by)
-        ahead = ahead.withColumn("_ahead", F.col("_ahead") - F.col("_first"))
-    ranks = ahead.select(*keys, (F.col("_ahead") + 1).cast("int").alias(out))
-    return _join_same(df, ranks, keys)
+    """``rows`` with their ranks among the rows of ``frame``."""
+    for table, measure in zip(_rank_table(frame, ranks, partition_by), ranks.values(), strict=True):
+        rows = _join_same(rows, table, [*partition_by, measure])
+    return rows
 
 
 def with_ranks(
-    df: DataFrame | Staged,
-    ranks: Mapping[str, str],
-    partition_by: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
+    df: DataFrame | Staged, ranks: Mapping[str, str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Add competition ranks, largest first; ``ranks`` maps output to measure."""
-    staged = settle(df, "ranked")
-    if staged.rows <= one_task_rows:
-        window = Window.partitionBy(*partition_by)
-        return staged.frame.withColumns(
-            {out: F.rank().over(window.orderBy(_descending(m))) for out, m in ranks.items()}
-        )
-    return reduce(
-        lambda frame, item: _rank_by_counts(frame, item[1], item[0], partition_by, one_task_rows),
-        ranks.items(),
-        staged.frame,
-    )
+    frame = settle(df, "ranked").frame
+    return _join_ranks(frame, frame, ranks, partition_by)
 
 
-def _tile(position: Column, rows: int, tiles: int) -> Column:
+def _tile(position: str, rows: str, tiles: int) -> Column:
     """Tile of a 0-based position when the first ``rows % tiles`` tiles get one row more."""
-    size, larger = divmod(rows, tiles)
-    split = larger * (size + 1)
-    in_larger = F.floor(position / F.lit(size + 1)) + 1
-    if size == 0:
-        return in_larger.cast("int")
-    in_smaller = F.floor((position - split) / F.lit(size)) + larger + 1
-    return F.when(position < split, in_larger).otherwise(in_smaller).cast("int")
+    size, larger = f"({rows} div {tiles})", f"({rows} % {tiles})"
+    split = f"({larger} * ({size} + 1))"
+    in_larger = f"{position} div ({size} + 1) + 1"
+    in_smaller = f"({position} - {split}) div greatest({size}, 1) + {larger} + 1"
+    return F.expr(f"cast(if({position} < {split}, {in_larger}, {in_smaller}) as int)")
 
 
 def with_tiles(
-    df: DataFrame | Staged,
-    tiles: Mapping[str, str],
-    n: int,
-    tie_break: Sequence[str],
-    one_task_rows: int = ONE_TASK_ROWS,
+    df: DataFrame | Staged, tiles: Mapping[str, str], n: int, tie_break: Sequence[str]
 ) -> DataFrame:
     """Add equal-count tiles 1..n, largest first; ties go by the ``tie_break`` keys."""
-    staged = settle(df, "tiled")
-
-    def order(measure: str) -> list[Column]:
-        return [_descending(measure), *[F.col(k).asc_nulls_first() for k in tie_break]]
-
-    if staged.rows <= one_task_rows:
-        return staged.frame.withColumns(
-            {out: F.ntile(n).over(Window.orderBy(*order(m))) for out, m in tiles.items()}
-        )
-    frame = staged.frame
+    frame = df.frame if isinstance(df, Staged) else df
+    keys = [F.col(k).asc_nulls_first() for k in tie_break]
     for out, measure in tiles.items():
-        placed = running_before(frame, order(measure), F.lit(1), "_position", one_task_rows)
-        tile = _tile(F.col("_position"), staged.rows, n)
-        frame = placed.withColumn(out, tile).drop("_position")
+        order = [_descending(measure), *keys]
+        placed = running_before(frame, order, F.lit(1), "_position", total="_rows")
+        frame = placed.withColumn(out, _tile("_position", "_rows", n)).drop("_position", "_rows")
     return frame
 
 
 def top_with_ranks(
     df: DataFrame | Staged, k: int, order: Sequence[Column], ranks: Mapping[str, str]
 ) -> DataFrame:
-    """The first ``k`` rows, each with its ranks among **all** rows.
-
-    Only ``k`` rows need ranks, and a rank is one plus the rows above it: one
-    aggregate over the table counts those, and nothing is sorted as a whole.
-    """
+    """The first ``k`` rows, each with its ranks among **all** rows."""
     frame = settle(df, "top").frame
-    top = frame.orderBy(*order).limit(k).collect()
-
-    def above(measure: str, value) -> Column:
-        if value is None:
-            return F.col(measure).isNotNull()
-        return F.col(measure) > F.lit(value)
-
-    found = []
-    if top:
-        above_each = [F.count_if(above(m, row[m])) for row in top for m in ranks.values()]
-        beaten = list(frame.agg(*[c.alias(f"_{i}") for i, c in enumerate(above_each)]).first())
-        for row in top:
-            own, beaten = beaten[: len(ranks)], beaten[len(ranks) :]
-            found.append((*row, *[n + 1 for n in own]))
-    added = [StructField(out, IntegerType()) for out in ranks]
-    schema = StructType([*frame.schema.fields, *added])
-    return frame.sparkSession.createDataFrame(found, schema)
+    return _join_ranks(top_k(frame, k, order), frame, ranks)
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.labels import PRICE_CUTS, price_tier
 from ..functions.measures import margin_pct
@@ -20,6 +21,8 @@ SALES_TYPES = {
 }
 DATE_FORMAT = "MM-dd-yy"
 
+WHOLE = ("bigint", "int")
+
 # The same columns with exact money, for sums that do not depend on task order.
 EXACT_SALES_TYPES = {**SALES_TYPES, "revenue": "decimal(12,2)", "profit": "decimal(18,4)"}
 
@@ -40,9 +43,17 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def _typed(df: DataFrame, column: str, kind: str) -> Column:
+    """Text of a whole number may carry decimals (``3.0``); they are cut off."""
+    value = F.col(column)
+    if kind in WHOLE and isinstance(df.schema[column].dataType, StringType):
+        value = value.try_cast("decimal(38,6)")
+    return value.try_cast(kind)
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str] = SALES_TYPES) -> DataFrame:
     """Type the named columns; values that do not parse become NULL, others stay untouched."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+    return df.withColumns({c: _typed(df, c, t) for c, t in types.items() if c in df.columns})
 
 
 def parse_date(

@@ -30,14 +30,17 @@ POSITIVE = ("quantity", "unit_price")
 NON_NEGATIVE = ("revenue", "profit")
 MEASURES = ("quantity", "unit_price", "revenue", "profit")
 
-# Columns that are computed from others and so need no comparing or shuffling.
-DERIVED = ("order_year", "order_month", "order_year_month", "profit_margin_pct")
+# Date parts, which follow from the parsed date and so need no comparing or shuffling.
+DERIVED = ("order_year", "order_month", "order_year_month")
 
 
-def preview(df: DataFrame, n: int = 10, cols: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows in the order of the chosen columns."""
+def preview(
+    df: DataFrame, n: int = 10, cols: Sequence[str] | None = None, ordered: bool = False
+) -> DataFrame:
+    """First ``n`` rows as they come; ``ordered`` takes them in the order of the columns,
+    which reads the whole table."""
     shown = df.select(*cols) if cols else df
-    return shown.orderBy(*shown.columns).limit(n)
+    return (shown.orderBy(*shown.columns) if ordered else shown).limit(n)
 
 
 def schema_report(df: DataFrame) -> DataFrame:
@@ -188,7 +191,8 @@ def _base_columns(df: DataFrame) -> list[str]:
 def clean_sales(df: DataFrame) -> DataFrame:
     """Drop incomplete and out-of-range rows and repeated rows; add date parts and margin.
 
-    Filters come before the de-duplication, so rejected rows are never shuffled,
+    A margin column of the input counts when rows are compared and is computed anew
+    afterwards. Filters come before the de-duplication, so rejected rows are never shuffled,
     and derived columns come after it, so they are not shuffled either. Rows with
     zero revenue stay, with a NULL margin. The de-duplication has to compare whole
     rows: write its result once and run reports on the written table.

@@ -18,7 +18,6 @@ from ..functions.measures import round2
 from ..operators.aggregate import group_kpis, order_averages, rounded
 from ..operators.benchmark import mean_of, overall_margin, with_benchmark, with_shares
 from ..operators.ordering import (
-    ONE_TASK_ROWS,
     top_k,
     top_with_ranks,
     with_growth,
@@ -45,9 +44,9 @@ RANKED_MONEY = (
 PER_ORDER = ("avg_order_value", "profit_per_order")
 
 
-def _ranking(sales: DataFrame, dimension: str, extra: Sequence[str], one_task_rows: int) -> DataFrame:
+def _ranking(sales: DataFrame, dimension: str, extra: Sequence[str]) -> DataFrame:
     kpis = stage(order_averages(group_kpis(sales, [dimension])), "kpis")
-    ranked = with_shares(with_ranks(kpis, RANKS, one_task_rows=one_task_rows), SHARES)
+    ranked = with_shares(with_ranks(kpis, RANKS), SHARES)
     shown = [*RANKED_MONEY, *extra]
     return (
         rounded(ranked, shown)
@@ -56,14 +55,14 @@ def _ranking(sales: DataFrame, dimension: str, extra: Sequence[str], one_task_ro
     )
 
 
-def q01_category_ranking(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def q01_category_ranking(sales: DataFrame) -> DataFrame:
     """Totals, shares, margin and three ranks per category."""
-    return _ranking(sales, "category", (), one_task_rows)
+    return _ranking(sales, "category", ())
 
 
-def q02_region_strength(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def q02_region_strength(sales: DataFrame) -> DataFrame:
     """The category ranking by region, with revenue and profit per order."""
-    return _ranking(sales, "region", PER_ORDER, one_task_rows)
+    return _ranking(sales, "region", PER_ORDER)
 
 
 def q03_top_products(sales: DataFrame, k: int = 10) -> DataFrame:
@@ -190,10 +189,10 @@ def q08_monthly_growth(sales: DataFrame) -> DataFrame:
     return grown.orderBy("order_year_month")
 
 
-def q09_region_category(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def q09_region_category(sales: DataFrame) -> DataFrame:
     """Region and category pairs with the revenue rank inside the region."""
     kpis = group_kpis(sales, ["region", "category"])
-    ranked = with_ranks(kpis, {"rank_in_region": "total_revenue"}, ["region"], one_task_rows)
+    ranked = with_ranks(kpis, {"rank_in_region": "total_revenue"}, ["region"])
     money = ["total_revenue", "total_profit"]
     return (
         rounded(ranked, money)
@@ -202,16 +201,12 @@ def q09_region_category(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) ->
     )
 
 
-def q10_state_segments(
-    sales: DataFrame,
-    segments: Sequence[str] = L.SEGMENTS,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def q10_state_segments(sales: DataFrame, segments: Sequence[str] = L.SEGMENTS) -> DataFrame:
     """States in equal-count value segments by revenue."""
     keys = ["state", "region"]
     kpis = order_averages(group_kpis(sales, keys))
     tiles = {"revenue_tier": "total_revenue"}
-    tiled = with_tiles(kpis, tiles, len(segments), keys, one_task_rows)
+    tiled = with_tiles(kpis, tiles, len(segments), keys)
     segment = L.nth_label(F.col("revenue_tier"), segments)
     measures = ["total_revenue", "total_profit", "profit_margin_pct", *PER_ORDER]
     ordered = tiled.withColumn("value_segment", segment).orderBy(F.desc("total_revenue"), *keys)
@@ -220,7 +215,7 @@ def q10_state_segments(
     )
 
 
-def q11_product_actions(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def q11_product_actions(sales: DataFrame) -> DataFrame:
     """Products in the top quartile by revenue or margin, with the action to take.
 
     Quartiles are taken on the rounded figures, where margins tie often.
@@ -229,7 +224,7 @@ def q11_product_actions(sales: DataFrame, one_task_rows: int = ONE_TASK_ROWS) ->
     money = ["total_revenue", "total_profit", "profit_margin_pct"]
     products = rounded(group_kpis(sales, keys), money)
     quartiles = {"revenue_quartile": "total_revenue", "margin_quartile": "profit_margin_pct"}
-    tiled = with_tiles(products, quartiles, 4, keys, one_task_rows)
+    tiled = with_tiles(products, quartiles, 4, keys)
     sells, earns = F.col("revenue_quartile"), F.col("margin_quartile")
     action = (
         F.when((sells == 1) & (earns <= 2), L.SCALE_UP)

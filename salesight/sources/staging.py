@@ -3,58 +3,97 @@
 A staged table cuts lineage: a lost executor costs a re-read of files, not a
 re-run of the upstream joins. It also fixes what later passes see, which the
 multi-pass operators (global ranks, quantiles, model training) rely on.
+
+Staged tables live as long as the session's JVM, which removes the application's
+folder when it ends; ``release`` removes one earlier, ``release_all`` all of them.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 from typing import NamedTuple
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_marked: set[str] = set()
+
+#: Set to true where a ``file:`` folder is mounted on every machine of a cluster.
+SHARED_FILES = "salesight.staging.sharedFiles"
 
 
 class Staged(NamedTuple):
     frame: DataFrame
-    rows: int
+    path: str
+
+
+def _file_system(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
 
 
 def staging_root(spark: SparkSession) -> str:
     """Folder for staged tables: ``spark.checkpoint.dir``, in a subfolder per application.
 
-    Where that is unset, a local-mode session gets a temporary folder of its own;
-    a cluster session is refused, as its executors would not share such a folder.
+    Where that is unset, a local-mode session gets a temporary folder of its own. On a
+    cluster it must name a folder that all executors share: a missing setting and one
+    on a machine's own disk are refused.
     """
     app = spark.conf.get("spark.app.id", "app")
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not _is_local(spark):
+        if not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        mounted = spark.conf.get(SHARED_FILES, "false") == "true"
+        scheme = urlparse(shared).scheme or _file_system(spark, shared)[1].getScheme()
+        if not mounted and scheme == "file":
+            raise RuntimeError(
+                f"spark.checkpoint.dir {shared} is on one machine's disk; if every machine "
+                f"mounts it, set {SHARED_FILES} to true"
+            )
     if shared:
         return f"{shared.rstrip('/')}/salesight-{app}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="salesight-")
     return _local_roots[app]
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str = "frame", sort_within: Sequence[str] = ()) -> Staged:
-    """Write ``df`` once as parquet and return the re-read table with its row count.
-
-    ``sort_within`` orders the rows inside each file without a further shuffle, so
-    that order-sensitive training sees the same layout on every run.
-    """
-    spark = df.sparkSession
-    path = staged_path(spark, name)
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.parquet(path)
-    frame = spark.read.schema(df.schema).parquet(path)
-    return Staged(frame, frame.count())
+    """A new path under the staging root, which goes when the session's JVM ends."""
+    root = staging_root(spark)
+    if root not in _marked:
+        there, files = _file_system(spark, root)
+        files.mkdirs(there)
+        files.deleteOnExit(there)
+        _marked.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Remove a staged table; frames that read it must not be used again."""
+    there, files = _file_system(spark, path)
+    files.delete(there, True)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Remove every table that this application has staged."""
+    root = staging_root(spark)
+    release(spark, root)
+    _marked.discard(root)
+    _local_roots.pop(spark.conf.get("spark.app.id", "app"), None)
+
+
+def stage(df: DataFrame, name: str = "frame") -> Staged:
+    """Write ``df`` once as parquet; the frame reads it back."""
+    path = staged_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return Staged(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
 def settle(df: DataFrame | Staged, name: str = "frame") -> Staged:

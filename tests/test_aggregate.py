@@ -57,12 +57,12 @@ def test_benchmark_of_an_empty_table(spark):
 NUMBERS = [5.0, 1.0, 1.0, 8.0, 2.5, 1.0, 100.0, None]
 
 
-@pytest.mark.parametrize("limit", [10**6, 3])
-def test_exact_description(spark, limit):
+@pytest.mark.parametrize("accuracy", [3, 10_000])
+def test_exact_description(spark, accuracy):
     import numpy as np
 
     df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(NUMBERS)], "x double, y double")
-    rows = {r.measure: r for r in describe.describe(df, ["x", "y"], True, one_task_rows=limit).collect()}
+    rows = {r.measure: r for r in describe.describe(df, ["x", "y"], True, accuracy).collect()}
     known = np.array(NUMBERS[:-1])
     x = rows["x"]
     assert (x.row_count, x.min, x.max) == (7, 1.0, 100.0)
@@ -71,6 +71,28 @@ def test_exact_description(spark, limit):
     assert rows["y"].q50 == 3.5 and rows["y"].row_count == 8
 
 
+@pytest.mark.parametrize("accuracy", [20, 200])
+def test_exact_quartiles_of_many_rows(spark, accuracy):
+    """Brackets of a coarse approximation still hold the true quartiles."""
+    import numpy as np
+
+    rnd = np.random.default_rng(accuracy)
+    values = np.concatenate([rnd.normal(0, 50, 4000).round(1), np.full(1500, 7.0)])
+    df = spark.createDataFrame([(float(v), float(i)) for i, v in enumerate(values)], "x double, y double").repartition(7)
+    rows = {r.measure: r for r in describe.describe(df, ["x", "y"], True, accuracy).collect()}
+    for name, known in (("x", values), ("y", np.arange(len(values)))):
+        found = [rows[name].q25, rows[name].q50, rows[name].q75]
+        assert found == pytest.approx(list(np.quantile(known, [0.25, 0.5, 0.75])))
+
+
+def test_value_counts_keep_the_first_of_every_column(spark):
+    from salesight.operators.aggregate import value_counts
+
+    df = spark.createDataFrame([("a", i % 7, 1.5) for i in range(40)], "m string, n int, d double")
+    found = [(r.column_name, r.value, r.row_count) for r in value_counts(df, ["m", "n", "d"], 2).collect()]
+    assert found == [("d", "1.5", 40), ("m", "a", 40), ("n", "0", 6), ("n", "1", 6)]
+
+
 def test_approximate_description(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     row = describe.describe(df, ["x"]).first()

@@ -75,6 +75,18 @@ def test_top_k_is_not_a_full_sort(table):
     assert "TakeOrderedAndProject" in plan(top_products(table))
 
 
-def test_small_rank_windows_come_after_the_size_check(table):
+def test_ranks_read_slices(table):
     text = plan(reports.q01_category_ranking(table))
-    assert "Window" in text and "kpis-" in text
+    assert "Window" in text and "slices-" in text
+
+
+@pytest.mark.parametrize(
+    "report,before",
+    [(reports.q01_category_ranking, 10), (reports.q03_top_products, 15), (reports.q12_corrective_actions, 10)],
+)
+def test_reports_run_few_jobs_while_they_are_built(table, report, before):
+    spark, group = table.sparkSession, f"build-{report.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    report(table)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < before

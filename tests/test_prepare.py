@@ -23,7 +23,28 @@ def test_casts_give_null_for_bad_text_and_keep_other_columns(spark):
     df = spark.createDataFrame([("7", "x", "keep"), ("1.5", "2.25", "me")], "quantity string, revenue string, note string")
     rows = prepare.cast_columns(df).collect()
     assert rows[0] == (7, None, "keep")
-    assert rows[1].revenue == 2.25 and rows[1].note == "me"
+    assert rows[1] == (1, 2.25, "me")
+
+
+def test_whole_numbers_may_carry_decimals(spark):
+    texts = ["3", "3.0", " 4.00 ", "-2.9", "1e2", "9223372036854775807", "92233720368547758070", "", None, "x"]
+    df = spark.createDataFrame([(t, t) for t in texts], "order_id string, quantity string")
+    rows = prepare.cast_columns(df).collect()
+    assert [r.order_id for r in rows] == [3, 3, 4, -2, 100, 2**63 - 1, None, None, None, None]
+    assert [r.quantity for r in rows] == [3, 3, 4, -2, 100, None, None, None, None, None]
+
+
+def test_text_typing_equals_inference(spark, tmp_path):
+    from salesight.sources import files
+
+    path = str(tmp_path / "sales")
+    rows = [("3.0", "1"), ("3", "2"), ("4.5", "3.0")]
+    spark.createDataFrame(rows, "quantity string, order_id string").coalesce(1).write.option("header", "true").csv(path)
+    found = [
+        sorted(tuple(r) for r in prepare.cast_columns(files.read_sales(spark, path, infer=infer)).collect())
+        for infer in (False, True)
+    ]
+    assert found[0] == found[1] == [(3, 1), (3, 2), (4, 3)]
 
 
 def test_dates(spark):
@@ -55,6 +76,12 @@ def test_tier_cuts_are_parameters(spark):
     df = spark.createDataFrame([(9.0,), (20.0,)], "unit_price double")
     tiers = [r.price_tier for r in prepare.with_price_tier(df, (10, 20)).collect()]
     assert tiers == ["Budget (<10)", "Premium (20+)"]
+    for cuts, expected in (
+        ((), ["All prices"] * 2),
+        ((15,), ["Budget (<15)", "Premium (15+)"]),
+        ((5, 9, 12, 20), ["Tier 3 (9-12)", "Premium (20+)"]),
+    ):
+        assert [r.price_tier for r in prepare.with_price_tier(df, cuts).collect()] == expected
 
 
 def test_prepare_keeps_unknown_columns_and_all_rows(spark):

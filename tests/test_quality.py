@@ -94,10 +94,27 @@ def test_dependency_violations_and_lookup(spark):
     assert quality.product_lookup(df, ["a"]).count() == 2
 
 
+def test_rows_that_differ_in_an_input_margin_stay(spark):
+    from salesight.operators import prepare
+
+    base = (1, "01-02-23", "c", "s", "p", "r", "t", 1, 2.0, 2.0, 1.0)
+    names = "order_id bigint, order_date string, category string, sub_category string, product_name string, region string, state string, quantity int, unit_price double, revenue double, profit double, profit_margin_pct double"
+    df = spark.createDataFrame([(*base, 50.0), (*base, 49.0), (*base, 50.0)], names)
+    typed = prepare.date_parts(prepare.parse_date(df))
+    assert quality.clean_sales(typed).count() == 2
+    assert quality.cleaning_report(typed).first().rows_after == 2
+    assert {r.profit_margin_pct for r in quality.clean_sales(typed).collect()} == {50.0}
+
+
+def test_preview_takes_rows_as_they_come(spark):
+    text = quality.preview(spark.range(1000), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in text and quality.preview(spark.range(1000), 3).count() == 3
+
+
 def test_preview_is_ordered(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "n int, s string")
-    assert [r.n for r in quality.preview(df, 2).collect()] == [1, 2]
-    assert quality.preview(df, 1, ["s"]).collect()[0].s == "a"
+    assert [r.n for r in quality.preview(df, 2, ordered=True).collect()] == [1, 2]
+    assert quality.preview(df, 1, ["s"], ordered=True).collect()[0].s == "a"
 
 
 def test_non_null_rule_treats_nan_as_missing(spark):

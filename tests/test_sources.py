@@ -49,9 +49,37 @@ def test_views_and_sql(spark):
 
 
 def test_staged_table(spark):
-    frame, rows = staging.stage(spark.range(9).selectExpr("id", "-id AS neg"), sort_within=["neg"])
-    assert rows == 9 and frame.columns == ["id", "neg"]
-    assert staging.settle(staging.Staged(frame, rows)).frame is frame
+    staged = staging.stage(spark.range(9).selectExpr("id", "-id AS neg"))
+    assert staged.frame.count() == 9 and staged.frame.columns == ["id", "neg"]
+    assert staging.settle(staged).frame is staged.frame
+
+
+def _folder(path):
+    import os
+
+    return os.path.exists(path.removeprefix("file:"))
+
+
+def test_staged_tables_are_released(spark):
+    staged = staging.stage(spark.range(3))
+    assert _folder(staged.path)
+    staging.release(spark, staged.path)
+    assert not _folder(staged.path)
+
+
+def test_staged_tables_go_with_the_session():
+    """A process that stages and ends leaves no folder behind."""
+    import subprocess
+    import sys
+
+    code = (
+        "from salesight.session import session; from salesight.sources import staging; "
+        "s = session(master='local[1]', **{'spark.ui.enabled': 'false'}); "
+        "print('PATH', staging.stage(s.range(3)).path, staging.staging_root(s)); s.stop()"
+    )
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120).stdout
+    _, path, root = next(line for line in said.split("\n") if line.startswith("PATH")).split()
+    assert not _folder(path) and not _folder(root)
 
 
 class _Session:
@@ -68,7 +96,6 @@ class _Session:
 def test_staging_follows_the_checkpoint_setting():
     session = _Session(**{"spark.checkpoint.dir": "hdfs:///shared/ckpt/", "spark.master": "yarn"})
     assert staging.staging_root(session) == "hdfs:///shared/ckpt/salesight-app-1"
-    assert staging.staged_path(session, "x").startswith("hdfs:///shared/ckpt/salesight-app-1/x-")
 
 
 def test_local_session_without_the_setting_gets_its_own_folder():
@@ -79,3 +106,8 @@ def test_local_session_without_the_setting_gets_its_own_folder():
 def test_no_machine_local_staging_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.staging_root(_Session(**{"spark.master": "spark://host:7077"}))
+    local = {"spark.master": "yarn", "spark.checkpoint.dir": "file:///tmp/ckpt"}
+    with pytest.raises(RuntimeError, match="one machine"):
+        staging.staging_root(_Session(**local))
+    mounted = _Session(**local, **{staging.SHARED_FILES: "true"})
+    assert staging.staging_root(mounted) == "file:///tmp/ckpt/salesight-app-1"

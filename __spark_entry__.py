@@ -95,7 +95,10 @@ def _region_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = describe.describe(clean(spark, sf_dir), exact=True)
+    return _rounded_figures(describe.describe(clean(spark, sf_dir), exact=True))
+
+
+def _rounded_figures(stats: DataFrame) -> DataFrame:
     figures = [c for c in stats.columns if c not in ("measure", "row_count")]
     return stats.withColumns({c: F.round(c, 4) for c in figures})
 
@@ -126,8 +129,37 @@ def _baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SPLIT_KEYS = ("order_id", "product_name", "state", "quantity")
+
+
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.train_test_split(clean(spark, sf_dir))
+    rows = clean(spark, sf_dir).select(*SPLIT_KEYS)
+    return sampling.train_test_split(rows, keys=SPLIT_KEYS)
+
+
+def _linear_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profit by revenue alone, on the training rows."""
+    train = regression.part(regression.regression_input(clean(spark, sf_dir), keys=SPLIT_KEYS), "train")
+    found = regression.linear_coefficients(regression.fit_linear(train, ["revenue"], []), ["revenue"])
+    return found.select(F.round("intercept", 3).alias("intercept"), F.round("revenue", 6).alias("slope"))
+
+
+def _pca_variance_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of two standardised features: their shares follow from the correlation."""
+    rows = clustering.cluster_input(clean(spark, sf_dir)).drop("features")
+    two = features.standardize(rows, ["revenue", "profit"])[0]
+    found = clustering.pca_variance(two)
+    return found.withColumn("explained_variance", F.round("explained_variance", 6))
+
+
+def _describe_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate quartiles at an accuracy at which they are values of the table."""
+    return _rounded_figures(describe.describe(clean(spark, sf_dir), accuracy=10_000_000))
+
+
+def _pca_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = clustering.pca_feed(clustering.pca_scores(_clustered(spark, sf_dir)), keys=["order_id"])
+    return points.select("order_id", "revenue", "profit", "profit_margin_pct")
 
 
 def _predictions(fit) -> Query:
@@ -228,7 +260,7 @@ def queries() -> dict[str, Query]:
             clean, aggregate.value_counts, ("category", "state", "quantity"), n=10
         ),
         "describe_measures": _describe,
-        "describe_measures_approx": _on(clean, describe.describe),
+        "describe_measures_approx": _describe_approx,
         "kpi_totals": _on(clean, overviews.kpi_totals),
         "region_overview": _on(clean, overviews.dimension_overview, "region"),
         "category_overview": _on(clean, overviews.dimension_overview, "category"),
@@ -283,7 +315,10 @@ def queries() -> dict[str, Query]:
         "kmeans_silhouette": _silhouette,
         "pca_scores": _on(_clustered, clustering.pca_scores),
         "pca_variance": _on(_vectors, clustering.pca_variance),
-        "pca_feed": _on(_clustered, lambda df: clustering.pca_feed(clustering.pca_scores(df))),
+        "pca_feed": _pca_feed,
+        "pca_variance_two": _pca_variance_two,
+        "kmeans_facts": _on(_vectors, clustering.kmeans_facts),
+        "linear_revenue": _linear_revenue,
     }
     if corpus is not None:
         found |= corpus.queries() | {"pipeline": corpus_pipeline.run}

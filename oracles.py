@@ -114,6 +114,17 @@ def _counts(cols: tuple[str, ...], source: str) -> str:
     )
 
 
+def _bucket(*values: str) -> str:
+    """Sampling bucket of a row: the beginning of an MD5, in millionths."""
+    return f"(('0x' || left(md5(concat_ws('|', {', '.join(values)})), 8))::BIGINT % 1000000)"
+
+
+SPLIT = (
+    f"CASE WHEN {_bucket("'split 42'", 'order_id', 'product_name', 'state', 'quantity')} < 800000 "
+    "THEN 'train' ELSE 'test' END"
+)
+
+
 def _by_measure(template: str) -> str:
     return " UNION ALL ".join(template.format(c=c) for c in MEASURES)
 
@@ -248,6 +259,7 @@ def oracle_sql() -> dict[str, str]:
         round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75,
         round(max({c}::DOUBLE), 4) AS max FROM clean"""
     )
+    sql["describe_measures_approx"] = sql["describe_measures"].replace("quantile_cont", "quantile_disc")
     sql["kpi_totals"] = f"""{ON_CLEAN}, {_kpis('1 AS one')}
         SELECT {MONEY}, {_r2('m', 'overall_margin_pct')}, n AS total_orders,
                qty AS total_units_sold FROM g"""
@@ -368,6 +380,25 @@ def oracle_sql() -> dict[str, str]:
                     ELSE 'Urgent: improve margin' END AS recommended_action
         FROM g, w WHERE rev::DOUBLE >= mean_rev AND m < m_all"""
 
+    # Splits and samples, and what models give that SQL can express.
+    complete = "complete AS (SELECT * FROM clean WHERE profit_margin_pct IS NOT NULL)"
+    sql["train_test_split"] = f"""{ON_CLEAN} SELECT order_id, product_name, state, quantity,
+        {SPLIT} AS split FROM clean"""
+    sql["split_sizes"] = f"""{ON_CLEAN} SELECT {SPLIT} AS split, COUNT(*) AS row_count
+        FROM clean GROUP BY ALL"""
+    sql["linear_revenue"] = f"""{ON_CLEAN}, t AS (SELECT profit::DOUBLE AS y, revenue::DOUBLE AS x
+            FROM clean WHERE {SPLIT} = 'train')
+        SELECT round(regr_intercept(y, x), 3) AS intercept, round(regr_slope(y, x), 6) AS slope FROM t"""
+    sql["pca_feed"] = f"""{ON_CLEAN}, {complete}
+        SELECT order_id, revenue::DOUBLE AS revenue, profit::DOUBLE AS profit, profit_margin_pct
+        FROM complete WHERE {_bucket("'sample 42'", "order_id")} < 50000"""
+    sql["pca_variance_two"] = f"""{ON_CLEAN}, {complete},
+        c AS (SELECT abs(corr(revenue::DOUBLE, profit::DOUBLE)) AS r FROM complete)
+        SELECT 1 AS component, round((1 + r) / 2, 6) AS explained_variance FROM c
+        UNION ALL SELECT 2, round((1 - r) / 2, 6) FROM c"""
+    sql["kmeans_facts"] = f"""{ON_CLEAN}, {complete}
+        SELECT COUNT(*) AS rows_clustered, COUNT(*) AS rows_in_clusters,
+               0::BIGINT AS rows_off_centre, 0.0::DOUBLE AS cost_gap FROM complete"""
     # Model preparation and scoring that SQL can express.
     sql["label_index"] = f"""{ON_CLEAN}, {LABELS}
         SELECT column_name, label, CAST(place AS INTEGER) AS label_index, row_count FROM labels_"""

@@ -9,7 +9,8 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import (
@@ -78,6 +79,32 @@ def kmeans_assign(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataF
     return KMeans(featuresCol="features", k=k, seed=seed).fit(rows).transform(rows)
 
 
+def kmeans_facts(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+    """What must hold of any fit, as one row: rows clustered, rows in all clusters, rows not
+    at their nearest centre, and the relative gap of the reported cost to the distances."""
+    model = KMeans(featuresCol="features", k=k, seed=seed).fit(rows)
+    placed = model.transform(rows).select("prediction", vector_to_array("features").alias("z"))
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+
+    def distance(centre: Sequence[float]) -> Column:
+        return sum((F.col("z")[i] - F.lit(x)) ** 2 for i, x in enumerate(centre))
+
+    distances = F.array(*map(distance, centres))
+    placed = placed.select("prediction", distances.alias("d"))
+    sizes = placed.groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("d")[F.col("prediction")] > F.array_min("d") + 1e-9).alias("off"),
+        F.sum(F.col("d")[F.col("prediction")]).alias("cost"),
+    )
+    cost = F.lit(float(model.summary.trainingCost))
+    return sizes.agg(
+        F.lit(sum(model.summary.clusterSizes)).cast("bigint").alias("rows_clustered"),
+        F.sum("n").alias("rows_in_clusters"),
+        F.sum("off").alias("rows_off_centre"),
+        F.round(F.abs(F.sum("cost") - cost) / cost, 6).alias("cost_gap"),
+    )
+
+
 def cluster_sizes(clustered: DataFrame) -> DataFrame:
     return group_counts(clustered, ["prediction"], "row_count").orderBy("prediction")
 
@@ -141,6 +168,7 @@ def pca_feed(
     fraction: float = SAMPLE_FRACTION,
     cap: int | None = None,
     seed: int = SEED,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sampled scatter points for a chart; ``cap`` limits them to the first ones by hash."""
-    return sample_rows(scores, fraction, seed, cap)
+    return sample_rows(scores, fraction, seed, cap, keys)

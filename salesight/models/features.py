@@ -43,8 +43,9 @@ def feature_pipeline(
     """Index, encode and assemble into ``features``; an estimator may close the chain."""
     inputs = [*numeric, *[f"{c}_vec" for c in categorical]]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    first = encoding_stages(categorical) if categorical else []
     last = [] if estimator is None else [estimator]
-    return Pipeline(stages=[*encoding_stages(categorical), assembler, *last])
+    return Pipeline(stages=[*first, assembler, *last])
 
 
 def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:

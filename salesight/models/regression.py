@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sampling import train_test_split
@@ -20,14 +20,19 @@ SEED = 42
 INPUTS = (*CATEGORICAL, *NUMERIC, LABEL)
 
 
-def regression_input(sales: DataFrame, fraction: float = 0.8, seed: int = SEED) -> DataFrame:
+def regression_input(
+    sales: DataFrame,
+    fraction: float = 0.8,
+    seed: int = SEED,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
     """Narrow, split and staged training table.
 
     Training reads its input several times, so the few columns it needs are
-    written once and laid out by their values; the split is taken on whole rows
-    before the rest is dropped.
+    written once and laid out by their values; the split is taken on whole rows (or
+    ``keys``) before the rest is dropped.
     """
-    split = train_test_split(sales, fraction, seed)
+    split = train_test_split(sales, fraction, seed, keys)
     numbers = [F.col(c).cast("double").alias(c) for c in (*NUMERIC, LABEL)]
     narrow = split.select("split", *CATEGORICAL, *numbers)
     return laid_out(stage(narrow, "regression").frame)
@@ -49,8 +54,21 @@ def forest(
     )
 
 
-def fit_linear(train: DataFrame) -> PipelineModel:
-    return feature_pipeline(linear()).fit(train)
+def fit_linear(
+    train: DataFrame,
+    numeric: Sequence[str] = NUMERIC,
+    categorical: Sequence[str] = CATEGORICAL,
+) -> PipelineModel:
+    return feature_pipeline(linear(), numeric, categorical).fit(train)
+
+
+def linear_coefficients(model: PipelineModel, numeric: Sequence[str]) -> DataFrame:
+    """One row: the intercept and the slope of each numeric feature."""
+    fitted = model.stages[-1]
+    slopes = [float(c) for c in fitted.coefficients.toArray()[: len(numeric)]]
+    names = ", ".join(["intercept double", *[f"{c} double" for c in numeric]])
+    spark = SparkSession.active()
+    return spark.createDataFrame([(float(fitted.intercept), *slopes)], names)
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED) -> PipelineModel:

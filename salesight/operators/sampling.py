@@ -1,7 +1,8 @@
 """Row splits and samples that depend on the rows only, not on their partitions.
 
 A row's side follows from a hash of its values: re-runs, retries after a lost
-executor and other cluster sizes give the same rows, and nothing is shuffled.
+executor and other cluster sizes give the same rows, and nothing is shuffled. The hash
+is the beginning of the MD5 of the values' text, which other engines can state too.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ BUCKETS = 1_000_000
 
 def _hash(df: DataFrame, purpose: str, seed: int, keys: Sequence[str] | None) -> Column:
     """Row hash; the purpose keeps a sample independent of a split with the same seed."""
-    return F.xxhash64(F.lit(f"{purpose} {seed}"), *[F.col(k) for k in (keys or df.columns)])
+    values = [F.col(k).cast("string") for k in (keys or df.columns)]
+    digest = F.md5(F.concat_ws("|", F.lit(f"{purpose} {seed}"), *values))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def _chosen(row_hash: Column, fraction: float) -> Column:

@@ -13,7 +13,10 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def connect(sf_dir: str):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import PRICE_CUTS, nth_label, tier_labels, tier_number
-from ..functions.measures import margin_pct, round2
+from ..functions.measures import round2
 from ..operators.aggregate import group_kpis, group_sum, rounded
 from ..operators.ordering import top_k
 from ..operators.prepare import with_price_tier
@@ -18,18 +18,12 @@ MONEY = ("total_revenue", "total_profit")
 
 def kpi_totals(sales: DataFrame) -> DataFrame:
     """Revenue, profit, margin, orders and units of the whole table."""
-    sums = sales.agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"),
-    )
-    return sums.select(
-        round2(F.col("total_revenue")).alias("total_revenue"),
-        round2(F.col("total_profit")).alias("total_profit"),
-        round2(margin_pct("total_profit", "total_revenue")).alias("overall_margin_pct"),
-        "total_orders",
-        "total_units_sold",
+    whole = rounded(group_kpis(sales, []), [*MONEY, "profit_margin_pct"])
+    return whole.select(
+        *MONEY,
+        F.col("profit_margin_pct").alias("overall_margin_pct"),
+        F.col("order_count").alias("total_orders"),
+        F.col("total_quantity").alias("total_units_sold"),
     )
 
 
@@ -50,10 +44,8 @@ def price_tier_overview(sales: DataFrame, cuts: Sequence[float] = PRICE_CUTS) ->
 
 def monthly_overview(sales: DataFrame) -> DataFrame:
     """Revenue and profit per month, in time order."""
-    months = sales.groupBy("order_year_month").agg(
-        F.sum("revenue").alias("total_revenue"), F.sum("profit").alias("total_profit")
-    )
-    return rounded(months, MONEY).orderBy("order_year_month")
+    months = rounded(group_kpis(sales, ["order_year_month"]), MONEY)
+    return months.select("order_year_month", *MONEY).orderBy("order_year_month")
 
 
 def chart_by_dimension(sales: DataFrame, dimension: str, measure: str) -> DataFrame:

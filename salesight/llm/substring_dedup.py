@@ -150,9 +150,9 @@ def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         F.max("doc_id").alias("hi"),
         (F.min("run") != F.max("run")).alias("varied"),
     )
-    repeated = write_table(
-        found.join(anchors.filter("lo < hi").select("anchor", "varied"), "anchor"), "repeated"
-    )
+    # written, so that the join deals both sides itself and can split a hot anchor
+    anchors = write_table(anchors.filter("lo < hi").select("anchor", "varied"), "anchors")
+    repeated = write_table(found.join(anchors, "anchor"), "repeated")
     holders = repeated.groupBy("anchor", "run").agg(
         F.min(F.struct("doc_id", "tk", "start", "n")).alias("first"),
         F.first("varied").alias("varied"),
@@ -167,6 +167,7 @@ def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         .join(offsets, ["anchor", "run"], "left")
         .filter("lo < hi OR offsets IS NOT NULL")
     )
+    verdicts = write_table(verdicts, "verdicts")
     marked = repeated.join(verdicts, ["anchor", "run"]).withColumn(
         "offsets", F.when(F.col("doc_id") == F.col("lo"), F.col("offsets"))
     )

@@ -27,6 +27,8 @@ from salesight.llm.tables import map_batches, records
 #: only decide how often a worker has to encode, never a count.
 TABLE_ENTRIES = 30_000
 TABLE_DOCS = 2_000
+#: Pre-tokens that a batch of sampled documents names, at most.
+BATCH_ENTRIES = 4_000
 #: Entries of a worker's cache; a full cache starts anew.
 CACHE_ENTRIES = 300_000
 
@@ -102,7 +104,7 @@ def frequent_pre_tokens(docs: DataFrame, entries: int, sample_docs: int) -> list
         seen: Counter[bytes] = Counter()
         for value in batch.column(0):
             seen.update((value.as_py() or "").encode().split())
-        top = seen.most_common(entries)
+        top = seen.most_common(min(entries, BATCH_ENTRIES))
         yield records(
             token=pa.array([t for t, _ in top], pa.binary()),
             n=pa.array([n for _, n in top], pa.int64()),

@@ -130,7 +130,11 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, blocks: int
 
     Rows come by id, null last, then by a hash of the text; of rows equal in both one stays.
     """
-    found = near_duplicates(docs, width, distance, blocks)
+    return first_rows(docs, near_duplicates(docs, width, distance, blocks))
+
+
+def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of ``docs`` that come first by ``found`` (doc_id, tk and the first row's place)."""
     here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
     kept = found.filter(here == F.col("first")).select(
         F.col("doc_id").alias("_d"), F.col("tk").alias("_t")

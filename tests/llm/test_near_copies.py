@@ -1,0 +1,75 @@
+"""Near copies against the Jaccard index of all pairs."""
+
+import random
+import re
+
+import corpus_pipeline as C
+from salesight.llm import near_copies as N
+from salesight.llm import simhash
+from salesight.llm.tables import write_table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def grams(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_firsts(texts):
+    """The ids that stay of a dictionary of texts by id."""
+    sets = {i: grams(t) for i, t in texts.items()}
+    group, changed = {i: i for i in sets}, True
+
+    def near(a, b):
+        return 10 * len(a & b) >= 8 * len(a | b)
+
+    pairs = [(a, b) for a in sets for b in sets if a < b and near(sets[a], sets[b])]
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(group[a], group[b])
+            changed |= group[a] != group[b]
+            group[a] = group[b] = low
+    return {i for i in sets if group[i] == i}, pairs
+
+
+def made_up(rng, n_texts):
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.choice([4, 9, 30, 120, 400]))] for _ in range(n_texts // 8)]
+    texts = []
+    for _ in range(n_texts):
+        words = list(rng.choice(base))
+        for _ in range(rng.randrange(1 + len(words) // 25)):
+            words[rng.randrange(len(words))] = rng.choice([rng.choice(vocabulary), "É", "İ"])
+        if rng.random() < 0.3:
+            words = words + passage
+        texts.append(" ".join(w.upper() if rng.random() < 0.1 else w for w in words))
+    return [*texts, "", None, " \n", "one", "One", "w1 " * 300, "w1 " * 9, texts[0]]
+
+
+def test_every_pair_at_four_fifths_is_found(spark, monkeypatch):
+    monkeypatch.setattr(N, "LEAST_FREQUENT", 3)
+    texts = dict(enumerate(made_up(random.Random(4), 240)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    kept = {r.doc_id for r in N.one_of_each(docs).collect()}
+    expected, pairs = brute_firsts(texts)
+    assert kept == expected and len(pairs) > 100
+    assert kept < {r.doc_id for r in simhash.one_of_each(docs).collect()}
+
+
+def test_stage_of_the_pipeline_links_near_copies(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    long = max((r.text for r in docs.collect()), key=lambda t: len(t.split()) if len(t.split()) < 2000 else 0).split()
+    copies = []
+    for i in range(6):
+        words = list(long)
+        for k in range(7 + i, len(words), 60):
+            words[k] = f"changed{i}"
+        copies.append((10_000 + i, " ".join(words)))
+    planted = spark.createDataFrame(copies, "doc_id bigint, text string")
+    whole = write_table(docs.select("doc_id", "text").unionByName(planted), "planted")
+    kept = {r.doc_id for r in C.STAGES[2][1](spark, whole, small_dir).select("doc_id").collect()}
+    assert kept == brute_firsts({r.doc_id: r.text for r in whole.collect()})[0]
+    assert not kept & {i for i, _ in copies}

@@ -1,8 +1,9 @@
 """Line dedup with a segment-partition edit join.
 
 A line goes if an equal line, or one within ``distance`` edits of it, stands earlier in
-the corpus (by doc_id, then line). Lines are compared without surrounding white space;
-those shorter than ``least`` code points always stay.
+the corpus (by doc_id, then line). Lines are compared without surrounding white space.
+Equal lines go at any length but blank ones; near lines from ``NEAR_CHARS`` code points.
+A ``least`` that is given holds for both: lines shorter than it always stay.
 
 Near lines: every distinct line is split into distance + 1 segments. Of two lines within
 the distance, the longer holds one of the shorter's segments unchanged, shifted by no
@@ -32,7 +33,9 @@ from salesight.llm import text as T
 from salesight.llm.tables import map_batches, records, text_key, write_table
 
 DISTANCE = 1
-LEAST_CHARS = 20
+#: Code points from which equal lines go (blank lines have none), and near lines.
+LEAST_CHARS = 1
+NEAR_CHARS = 20
 #: 64-bit words of the set that picks the lines to compare (8 MB).
 SIEVE_WORDS = 1 << 20
 
@@ -164,7 +167,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def segments(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def segments(docs: DataFrame, distance: int = DISTANCE, least: int = NEAR_CHARS) -> DataFrame:
     """key, line, sketch, own: a row for each segment of a line (own) and each probe.
 
     Lines that a batch holds several times are taken once.
@@ -270,7 +273,7 @@ def _verify(batch: pa.RecordBatch, distance: int) -> Iterator[pa.RecordBatch]:
     yield records(u=kept.column(0), v=kept.column(1))
 
 
-def near_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def near_lines(docs: DataFrame, distance: int = DISTANCE, least: int = NEAR_CHARS) -> DataFrame:
     """Every pair u, v of distinct lines within 1 to ``distance`` edits, once."""
     rows = write_table(segments(docs, distance, least), "segments")
     pairs = write_table(candidates(rows, distance), "line-pairs")
@@ -282,15 +285,15 @@ def near_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHA
     return map_batches(both.select("u", "v", "a", "b"), partial(_verify, distance=distance), "u bigint, v bigint")
 
 
-def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int | None = None) -> DataFrame:
     """doc_id, tk, removed: numbers of the lines to go, and n_exact, how many of them have
     an equal line earlier. Only documents that lose lines have a row."""
-    found = write_table(occurrences(docs, least), "lines")
+    found = write_table(occurrences(docs, LEAST_CHARS if least is None else least), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk", "ln")
     firsts = write_table(
         found.groupBy("line").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")), "first-lines"
     )
-    links = near_lines(docs, distance, least)
+    links = near_lines(docs, distance, NEAR_CHARS if least is None else least)
     linked = links.select(F.col("u").alias("line"), F.col("v").alias("other")).unionByName(
         links.select(F.col("v").alias("line"), F.col("u").alias("other"))
     )
@@ -309,7 +312,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST
     )
 
 
-def line_counts(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def line_counts(docs: DataFrame, distance: int = DISTANCE, least: int | None = None) -> DataFrame:
     """Per row: doc_id, n_lines, n_exact, n_near (lines that go by kind) and their numbers."""
     gone = write_table(repeated_lines(docs, distance, least), "repeated-lines")
     size = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
@@ -321,7 +324,7 @@ def line_counts(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CH
     return joined.select("doc_id", "n_lines", exact.alias("n_exact"), (F.size(removed) - exact).alias("n_near"), removed.alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int = LEAST_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int | None = None) -> DataFrame:
     """``docs`` without the lines that go; a document all of whose lines go, goes itself.
 
     All columns stay; n_chars, where there is one, counts the new text.

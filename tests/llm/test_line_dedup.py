@@ -84,3 +84,12 @@ def test_documents_without_their_repeated_lines(spark):
     assert sorted(kept) == [1, 3, 4, 5] and kept[3].text == "mine" and kept[3].n_chars == 4
     assert kept[1].text == f"{long}\nshort\nother" and kept[4].text is None and kept[4].n_chars == 7 and kept[5].text == ""
     assert L.drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_equal_lines_go_at_any_length(spark):
+    texts = ["Ietzte.\nx\n\nmine", "Ietzte.\n \ny\n x", "Ietzte!\n\né", "é\nX", "Ietzte."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    found = {r.doc_id: (r.n_exact, r.n_near, r.removed) for r in L.line_counts(docs).collect()}
+    assert found == {0: (0, 0, []), 1: (2, 0, [0, 3]), 2: (0, 0, []), 3: (1, 0, [0]), 4: (1, 0, [0])}
+    kept = {r.doc_id: r.text for r in L.drop_repeated_lines(docs).collect()}
+    assert kept == {0: texts[0], 1: " \ny", 2: texts[2], 3: "X"}

@@ -71,6 +71,21 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         first = last
 
 
+def pieces(data: np.ndarray, member: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    """Consecutive parts of a text of about ``limit`` bytes, cut where no run of member bytes is."""
+    first, step = 0, 1 << 16
+    while first < len(data):
+        last = min(first + limit, len(data))
+        while last < len(data):
+            gaps = np.flatnonzero(~member[data[last : last + step]])
+            if len(gaps):
+                last += int(gaps[0])
+                break
+            last = min(last + step, len(data))
+        yield data[first:last]
+        first = last
+
+
 def runs(member: np.ndarray, bounds: np.ndarray) -> Words:
     """Maximal runs of True that cross no row bound."""
     n = len(member)

@@ -201,14 +201,16 @@ def clean_documents(
     docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that no test item overlaps."""
+    schema, at = docs.schema, docs.columns.index("text")
+    docs = docs.toDF(*[f"c{i}" for i in range(len(schema))])  # names with dots have no way into batches
     for shared in _blocks(benchmark, block_bytes):
 
         def step(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
             clean = np.ones(batch.num_rows, bool)
-            for chunk in T.chunks(batch.column("text")):
+            for chunk in T.chunks(batch.column(at)):
                 for hit in matches(shared.value, *tokens(chunk)):
                     clean[chunk.first + hit[0]] = False
             yield batch.filter(pa.array(clean))
 
         docs = map_batches(docs, step, docs.schema)
-    return docs
+    return docs.toDF(*schema.names)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from salesight.llm import text as T
-from salesight.llm.tables import map_batches, records, text_key, write_table
+from salesight.llm.tables import column, free_names, map_batches, records, text_key, write_table
 
 DISTANCE = 1
 #: Code points from which equal lines go (blank lines have none), and near lines.
@@ -330,14 +330,14 @@ def drop_repeated_lines(docs: DataFrame, distance: int = DISTANCE, least: int |
     All columns stay; n_chars, where there is one, counts the new text.
     """
     gone = write_table(repeated_lines(docs, distance, least), "repeated-lines")
-    gone = gone.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t"), F.col("removed").alias("_removed"))
-    joined = docs.join(
-        gone, docs.doc_id.cast("bigint").eqNullSafe(F.col("_d")) & (text_key(docs.text) == F.col("_t")), "left"
-    )
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_removed", i))
-    joined = joined.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    whole = F.col("_removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    joined = joined.filter(whole).select(*docs.columns)
+    d, t, numbers = free_names(docs, "_d", "_t", "_removed")
+    gone = gone.select(F.col("doc_id").alias(d), F.col("tk").alias(t), F.col("removed").alias(numbers))
+    same = docs.doc_id.cast("bigint").eqNullSafe(F.col(d)) & (text_key(docs.text) == F.col(t))
+    joined = docs.join(gone, same, "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(numbers, i))
+    whole = F.col(numbers).isNull()
+    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(kept, "\n")))
+    joined = joined.filter(whole | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*map(column, docs.columns))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         if isinstance(kind, S.NumericType):

@@ -29,7 +29,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesight.llm.tables import write_table
+from salesight.llm.tables import column, write_table
 from salesight.operators.ordering import running_before
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -51,10 +51,6 @@ class Manifest(NamedTuple):
     arity: int
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def digest(*parts: Column) -> Column:
     """Lowercase hex SHA-256 of the parts, one after the other."""
     return F.sha2(F.concat(*parts), 256)
@@ -70,7 +66,7 @@ def leaf_digest(
     columns: Sequence[str] = COLUMNS, changed: Mapping[str, Column] | None = None
 ) -> Column:
     """The leaf of a row; ``changed`` gives other values for some of its columns."""
-    values = [(changed or {}).get(c, quoted(c)) for c in columns]
+    values = [(changed or {}).get(c, column(c)) for c in columns]
     return digest(*[encoded(v) for v in values])
 
 
@@ -138,8 +134,8 @@ def build(
     """
     carried = dict(keep or {})
     leaves = docs.select(
-        F.coalesce(F.concat(F.lit("="), quoted(tree).cast("string")), F.lit("")).alias("tree"),
-        quoted(order).alias("place"),
+        F.coalesce(F.concat(F.lit("="), column(tree).cast("string")), F.lit("")).alias("tree"),
+        column(order).alias("place"),
         leaf_digest(columns).alias("hash"),
         *[c.alias(name) for name, c in carried.items()],
         # written: parts equal rows of any number

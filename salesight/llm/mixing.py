@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesight.llm.tables import write_table
+from salesight.llm.tables import column, free_names, write_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A queue is cut into this many slices of its shuffled order, each a window of its own,
@@ -72,49 +72,52 @@ def mix(
     share: float = 1.5,
     epochs: int = 2,
     seed: str = "mix",
+    size: str = "size",
 ) -> DataFrame:
     """Add ``source_size``, ``target``, ``virtual_finish`` and ``taken`` to every row.
 
-    ``docs`` has doc_id, source and size (words); other columns pass through, and those
-    of the added names are replaced. ``taken``
-    counts the words that the mix takes of the document, repeats included. Rows come
+    ``docs`` has doc_id, source and words in the column ``size``; other columns pass
+    through, and those of the added names are replaced. ``taken`` counts the words that the mix takes of the document, repeats included. Rows come
     range-sorted by virtual finish time, in which order the mix is read.
     """
     made = ("source_size", "target", "virtual_finish", "taken")
-    docs = docs.drop(*made, "_queue", "_order", "_slice", "_start", "_end")
-    used = docs.columns
+    docs = docs.drop(*made)
+    used = [column(c) for c in docs.columns]
+    queue_, order, slice_, words, start, end = free_names(
+        docs, "_queue", "_order", "_slice", "_words", "_start", "_end"
+    )
     queue = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.withColumns({"_queue": queue, "_order": shuffled})
-    rows = rows.withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS))
-    slices = rows.groupBy("_queue", "_slice").agg(
-        F.first("source").alias("source"), F.sum("size").alias("_words")
+    rows = docs.withColumns({queue_: queue, order: shuffled})
+    rows = rows.withColumn(slice_, F.substring(order, 1, SLICE_DIGITS))
+    slices = rows.groupBy(queue_, slice_).agg(
+        F.first("source").alias("source"), F.sum(column(size)).alias(words)
     )
     slices = write_table(slices, "mix-slices")
-    sizes = slices.groupBy("_queue").agg(
-        F.first("source").alias("source"), F.sum("_words").alias("source_size")
+    sizes = slices.groupBy(queue_).agg(
+        F.first("source").alias("source"), F.sum(words).alias("source_size")
     )
     targets = source_targets(sizes, weights, share, epochs).drop("source")
-    before = Window.partitionBy("_queue").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(queue_).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select(
-        "_queue",
-        "_slice",
-        F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start"),
-    ).join(targets, "_queue")
+        queue_,
+        slice_,
+        F.coalesce(F.sum(words).over(before), F.lit(0)).alias(start),
+    ).join(targets, queue_)
     inside = (
-        Window.partitionBy("_queue", "_slice")
-        .orderBy("_order", "doc_id", "size")
+        Window.partitionBy(queue_, slice_)
+        .orderBy(order, "doc_id", column(size))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = rows.join(starts, ["_queue", "_slice"]).withColumn(
-        "_end", F.col("_start") + F.sum("size").over(inside)
+    placed = rows.join(starts, [queue_, slice_]).withColumn(
+        end, F.col(start) + F.sum(column(size)).over(inside)
     )
     quota = F.floor("target")
     taken = F.lit(0).cast("bigint")
     for epoch in range(epochs):
-        left = quota - F.lit(epoch) * F.col("source_size") - (F.col("_end") - F.col("size"))
-        taken = taken + F.greatest(F.lit(0).cast("bigint"), F.least(left, F.col("size")))
+        left = quota - F.lit(epoch) * F.col("source_size") - (F.col(end) - column(size))
+        taken = taken + F.greatest(F.lit(0).cast("bigint"), F.least(left, column(size)))
     mixed = placed.withColumns(
-        {"virtual_finish": F.try_divide(F.col("_end").cast("double"), "target"), "taken": taken}
+        {"virtual_finish": F.try_divide(F.col(end).cast("double"), "target"), "taken": taken}
     )
     return mixed.select(*used, *made).orderBy("virtual_finish", "doc_id")

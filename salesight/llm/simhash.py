@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from salesight.llm import text as T
 from salesight.llm.components import components
-from salesight.llm.tables import map_batches, records, text_key, write_table
+from salesight.llm.tables import column, free_names, map_batches, records, text_key, write_table
 
 SEED = 42
 BLOCKS = 6
@@ -136,14 +136,14 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, blocks: int
 def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Those of ``docs`` that come first by ``found`` (doc_id, tk and the first row's place)."""
     here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
-    kept = found.filter(here == F.col("first")).select(
-        F.col("doc_id").alias("_d"), F.col("tk").alias("_t")
-    )
+    d, t, nth = free_names(docs, "_d", "_t", "_nth")
+    kept = found.filter(here == F.col("first")).select(F.col("doc_id").alias(d), F.col("tk").alias(t))
     kept = write_table(kept.distinct(), "first-of-component")
-    same = docs.doc_id.cast("bigint").eqNullSafe(F.col("_d")) & (text_key(docs.text) == F.col("_t"))
+    same = docs.doc_id.cast("bigint").eqNullSafe(F.col(d)) & (text_key(docs.text) == F.col(t))
     joined = docs.join(kept, same)
-    equal = Window.partitionBy("_d", "_t").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    return joined.withColumn("_nth", F.row_number().over(equal)).filter("_nth = 1").select(*docs.columns)
+    columns = [column(c) for c in docs.columns]
+    equal = Window.partitionBy(d, t).orderBy(F.xxhash64(*columns))
+    return joined.withColumn(nth, F.row_number().over(equal)).filter(F.col(nth) == 1).select(*columns)
 
 
 def fingerprint_text(fp: Column) -> Column:

@@ -43,6 +43,22 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, lengthened where ``df`` has such a column."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def records(**columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 

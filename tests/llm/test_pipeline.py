@@ -4,7 +4,8 @@ import sys
 
 import pytest
 from test_line_dedup import SPACE
-from test_mix_simhash_tokens import brute_fingerprint, brute_targets
+from test_mix_simhash_tokens import brute_targets
+from test_near_copies import brute_firsts
 from test_quality_and_notices import brute_counts
 
 import corpus_pipeline as C
@@ -41,14 +42,16 @@ def brute_lines(rows):
                 place = (i, tk, ln)
                 first[line.strip(SPACE)] = min(first.get(line.strip(SPACE), place), place)
     for line in first:
-        by_length.setdefault(len(line), []).append(line)
+        if len(line) >= L.NEAR_CHARS:
+            by_length.setdefault(len(line), []).append(line)
     known = {}
 
     def earliest(line):
         if line not in known:
-            other = [b for d in range(-L.DISTANCE, L.DISTANCE + 1) for b in by_length.get(len(line) + d, ())]
+            lengths = range(len(line) - L.DISTANCE, len(line) + L.DISTANCE + 1) if len(line) >= L.NEAR_CHARS else ()
+            other = [b for n in lengths for b in by_length.get(n, ())]
             near = [first[b] for b in other if L.banded_distance(line, b, L.DISTANCE) <= L.DISTANCE]
-            known[line] = min(near)
+            known[line] = min([first[line], *near])
         return known[line]
 
     kept = []
@@ -63,22 +66,11 @@ def brute_lines(rows):
     return kept
 
 
-def brute_first_of_groups(rows):
-    prints = {i: brute_fingerprint(text) for i, text, _ in rows}
-    group, changed = {i: i for i in prints}, True
-    while changed:
-        changed = False
-        for a in prints:
-            for b in prints:
-                if group[a] < group[b] and (prints[a] ^ prints[b]).bit_count() <= 3:
-                    group[b], changed = group[a], True
-    return [(i, text) for i, text, _ in rows if group[i] == i]
-
-
 def test_stages_against_brute_force(spark, small_dir):
     from test_decontaminate import tokens
 
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    whole = {r.doc_id: r.text for r in docs.collect()}
     columns = docs.columns
     items = [tokens(r.text) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()]
 
@@ -109,7 +101,8 @@ def test_stages_against_brute_force(spark, small_dir):
         elif name == "line dedup":
             assert after == sorted(brute_lines(before))
         elif name == "SimHash near-dedup":
-            assert after == sorted(brute_first_of_groups(before))
+            stay, pairs = brute_firsts({i: whole[i] for i, _, _ in before})
+            assert after == sorted((i, t) for i, t, _ in before if i in stay)
         elif name == "benchmark decontamination":
             assert after == sorted((i, t) for i, t, _ in before if not leaks(t))
             assert len(after) < len(before)
@@ -123,11 +116,11 @@ def test_stages_against_brute_force(spark, small_dir):
             assert all(abs(total[s] - targets[s]) < 1 for s in sizes)
         if name != C.STAGES[-1][0]:
             assert docs.columns == columns and all(r.n_chars == len(r.text) for r in docs.collect())
-    whole = C.run(spark, small_dir)
-    assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
+    mixed = C.run(spark, small_dir)
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, docs.collect()))
 
 
-ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, tk string, size int, kept string, _n int"
+ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, tk string, size int, kept string, _n int, _d int, _t int, _nth int, _order int, _removed int, `a.b` int"
 
 
 @pytest.mark.parametrize("name,stage", C.STAGES)
@@ -139,10 +132,13 @@ def test_stages_with_odd_rows(spark, small_dir, name, stage):
         (None, None, None, None, None, None, None, None, None), (2, "", "en", "s", 0, "z", 3, "m", 3),
         (3, "short", "", "", 5, "", 0, "", 0), (4, "w " * 5000, "en", "t", 10000, "w", 4, "n", 4),
     ]
-    docs = spark.createDataFrame(rows, ODD).repartition(3)
+    docs = spark.createDataFrame([r + (7, 8, 9, 10, 11, 12) for r in rows], ODD).repartition(3)
     kept = write_table(stage(spark, docs, small_dir), "odd")
     if name != C.STAGES[-1][0]:
         assert kept.schema == docs.schema
+    else:
+        assert set(docs.columns) <= set(kept.columns)
+    assert {(r._d, r._t, r._nth, r._order, r._removed, r["a.b"]) for r in kept.collect()} <= {(7, 8, 9, 10, 11, 12)}
     found = [r.doc_id for r in kept.collect()]
     expected = {
         "quality rules": [1, 1, 1, None], "line dedup": None, "SimHash near-dedup": None,
@@ -153,3 +149,34 @@ def test_stages_with_odd_rows(spark, small_dir, name, stage):
     if name == "SimHash near-dedup":
         assert found.count(1) <= 2 and found.count(2) + found.count(None) <= 2
     assert stage(spark, docs.limit(0), small_dir).count() == 0
+
+
+NEAR = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def test_near_copies_planted_before_the_pipeline(spark, tmp_path, small_dir):
+    """Of each group with one word in forty replaced, one document is left after all stages."""
+    import random
+    import shutil
+
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("lo", "mi", "ka", "te", "su") for b in ("ran", "del", "fix", "gor", "hal", "tum", "pek")]
+    rows, group = [], {}
+    for base in range(12):
+        text = [f"{rng.choice(words)}{rng.randrange(90)}" for _ in range(200)]
+        for copy in range(4):
+            changed = list(text)
+            for at in range(copy * 7, 200, 80) if copy else ():
+                changed[at] = f"new{base}x{copy}x{at}"
+            lines = "\n".join(" ".join(changed[i : i + 20]) for i in range(0, 200, 20))
+            group[len(rows)] = base
+            rows.append((len(rows), lines, "en", f"s{copy}", len(lines)))
+    spark.createDataFrame(rows, NEAR).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        shutil.copy(f"{small_dir}/{name}.parquet", f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    held = write_table(C.lines(spark, docs, str(tmp_path)), "held")
+    assert held.count() == len(rows)  # lines alone leave a part of every copy
+    kept = [r.doc_id for r in C.copies(spark, held, str(tmp_path)).collect()]
+    assert sorted(kept) == [4 * base for base in range(12)]
+    assert sorted(group[r.doc_id] for r in C.run(spark, str(tmp_path)).collect()) == list(range(12))

@@ -148,7 +148,7 @@ def _pca_variance_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of two standardised features: their shares follow from the correlation."""
     rows = clustering.cluster_input(clean(spark, sf_dir)).drop("features")
     two = features.standardize(rows, ["revenue", "profit"])[0]
-    found = clustering.pca_variance(two)
+    found = clustering.vector_pca_variance(two)
     return found.withColumn("explained_variance", F.round("explained_variance", 6))
 
 
@@ -187,13 +187,17 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_input(clean(spark, sf_dir))
 
 
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_points(clean(spark, sf_dir))
+
+
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.kmeans_assign(_vectors(spark, sf_dir))
+    return clustering.kmeans_assign(_points(spark, sf_dir))
 
 
-def _silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = clustering.silhouette(_clustered(spark, sf_dir))
-    return spark.createDataFrame([(value,)], "silhouette double")
+def _rounded(operator: Callable[..., DataFrame], figures: dict[str, int]) -> Callable[..., DataFrame]:
+    """An operator whose sums of doubles are rounded, as their order differs between engines."""
+    return lambda df: operator(df).withColumns({c: F.round(c, n) + 0.0 for c, n in figures.items()})
 
 
 def _on(source: Query, operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -304,17 +308,17 @@ def queries() -> dict[str, Query]:
         "regression_metrics": _model_metrics,
         "feature_importance": _importance,
         # clusters and projection
-        "kmeans_elbow": _on(_vectors, clustering.kmeans_elbow),
-        "kmeans_assign": _on(_clustered, lambda df: df.drop("features")),
+        "kmeans_elbow": _on(_points, _rounded(clustering.kmeans_elbow, {"wcss": 4})),
+        "kmeans_assign": _on(_clustered, lambda df: df.drop("z")),
         "cluster_sizes": _on(_clustered, clustering.cluster_sizes),
         "cluster_profile": _on(_clustered, clustering.cluster_profile),
         "cluster_category_counts": _on(_clustered, clustering.cluster_category_counts),
         "cluster_profile_with_category": _on(
             _clustered, clustering.cluster_profile_with_category
         ),
-        "kmeans_silhouette": _silhouette,
-        "pca_scores": _on(_clustered, clustering.pca_scores),
-        "pca_variance": _on(_vectors, clustering.pca_variance),
+        "kmeans_silhouette": _on(_clustered, _rounded(clustering.silhouette, {"silhouette": 6})),
+        "pca_scores": _on(_clustered, _rounded(clustering.pca_scores, {"pc1": 5, "pc2": 5})),
+        "pca_variance": _on(_points, _rounded(clustering.pca_variance, {"explained_variance": 6})),
         "pca_feed": _pca_feed,
         "pca_variance_two": _pca_variance_two,
         "kmeans_facts": _on(_vectors, clustering.kmeans_facts),

@@ -176,6 +176,100 @@ def _text_columns() -> str:
     return COLUMNS.replace("revenue, profit", money)
 
 
+def _cluster_sql(complete: str) -> dict[str, str]:
+    """Lloyd's steps as a recursive query, and what is read off their clusters."""
+    features = ("revenue", "profit", "quantity", "unit_price", "profit_margin_pct")
+    z = range(1, len(features) + 1)
+    scores = ", ".join(
+        f"coalesce(round(({c}::DOUBLE - avg({c}::DOUBLE) OVER ()) / stddev_samp({c}::DOUBLE) OVER () * 1000000), 0)::BIGINT AS z{i}"
+        for i, c in zip(z, features)
+    )
+    every = ", ".join(f"z{i}" for i in z)
+    gap = " + ".join(f"(z{i}::DOUBLE - c{i}) * (z{i}::DOUBLE - c{i})" for i in z)
+    means = ", ".join(f"coalesce(m{i}, c{i}) AS c{i}" for i in z)
+    sums = ", ".join(f"sum(z{i})::DOUBLE / count(*)::DOUBLE AS m{i}" for i in z)
+    base = f"""{ON_CLEAN.replace('WITH ', 'WITH RECURSIVE ', 1)}, {complete},
+        points AS (SELECT *, row_number() OVER () AS id FROM (SELECT *, {scores} FROM complete)),
+        first_ AS (SELECT {every}, row_number() OVER (ORDER BY md5(concat_ws('|', {every}))) - 1 AS cluster
+                   FROM (SELECT DISTINCT {every} FROM points)),
+        steps AS (
+            SELECT 0 AS step, k::BIGINT AS k, cluster, {', '.join(f'z{i}::DOUBLE AS c{i}' for i in z)}
+            FROM first_, range(2, 9) t(k) WHERE cluster < k AND cluster < 8
+            UNION ALL
+            SELECT step, k, cluster, {means} FROM (SELECT step + 1 AS step, k, cluster, {', '.join(f'c{i}' for i in z)} FROM steps WHERE step < 20)
+            LEFT JOIN (SELECT k, best.cluster AS cluster, {sums}
+                       FROM (SELECT k, id, min({{'d': {gap}, 'cluster': cluster}}) AS best, {', '.join(f'any_value(z{i}) AS z{i}' for i in z)}
+                             FROM points, steps WHERE step < 20 GROUP BY k, id) GROUP BY ALL) USING (k, cluster)
+        ),
+        centres AS (SELECT * FROM steps WHERE step = 20),
+        placed AS (SELECT k, id, min({{'d': {gap}, 'cluster': cluster}}) AS best FROM points, centres GROUP BY k, id),
+        clustered AS (SELECT p.*, best.cluster::INTEGER AS prediction FROM points p JOIN placed USING (id) WHERE k = 4)"""
+
+    def profile(margin: str) -> str:
+        named = {"avg_revenue": "revenue", "avg_profit": "profit", "avg_quantity": "quantity",
+                 "avg_unit_price": "unit_price", margin: "profit_margin_pct"}
+        return ", ".join([f"round(avg({c}::DOUBLE), 2) AS {out}" for out, c in named.items()] + ["count(*) AS order_count"])
+
+    numbers = ", ".join(f"{c}::DOUBLE AS {c}" for c in MEASURES)
+    squares = " + ".join(f"z{i} / 1e6::DOUBLE * (z{i} / 1e6::DOUBLE)" for i in z)
+    dot = " + ".join(f"z{i} / 1e6::DOUBLE * s{i}" for i in z)
+    pairs = [(i, j) for i in z for j in z]
+    spread = ", ".join(
+        f"covar_samp(z{i} / 1e6::DOUBLE, z{j} / 1e6::DOUBLE) AS m{i}{j}" for i, j in pairs
+    )
+
+    def power(name: str, matrix: str) -> str:
+        """Power iteration: the leading unit vector of a symmetric matrix of one row."""
+        product = ", ".join(" + ".join(f"m{i}{j} * v{j}" for j in z) + f" AS w{i}" for i in z)
+        size = "sqrt(" + " + ".join(f"w{i} * w{i}" for i in z) + ")"
+        start = ", ".join(f"{0.3 + 0.1 * i}::DOUBLE AS v{i}" for i in z)
+        return f"""{name}_ AS (SELECT 0 AS step, {start} UNION ALL
+            SELECT step + 1, {', '.join(f'w{i} / {size}' for i in z)}
+            FROM (SELECT step, {product} FROM {name}_, {matrix} WHERE step < 3000)),
+        {name} AS (SELECT {', '.join(f'v{i} * turn AS v{i}' for i in z)}, value FROM (
+            SELECT *, {' + '.join(f'm{i}{j} * v{i} * v{j}' for i, j in pairs)} AS value,
+                   CASE WHEN list_extract([{', '.join(f'v{i}' for i in z)}], list_position(
+                     [{', '.join(f'abs(v{i}) > greatest({", ".join(f"abs(v{j})" for j in z)}) - 1e-9' for i in z)}], true)) < 0
+                     THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS turn
+            FROM {name}_, {matrix} WHERE step = 3000))"""
+
+    deflated = ", ".join(f"m{i}{j} - value * v{i} * v{j} AS m{i}{j}" for i, j in pairs)
+    components = f"""{base}, spread AS (SELECT {spread} FROM points), {power('one', 'spread')},
+        rest AS (SELECT {deflated} FROM spread, one), {power('two', 'rest')}"""
+
+    def score(which: str) -> str:
+        return "round(" + " + ".join(f"z{i}::DOUBLE * ({which}.v{i} / 1e6)" for i in z) + ", 5) + 0.0"
+
+    trace = " + ".join(f"m{i}{i}" for i in z)
+    return {
+        "kmeans_elbow": f"""{base} SELECT k::INTEGER AS k, round(sum(best.d / 1e12), 4) + 0.0 AS wcss FROM placed GROUP BY k""",
+        "kmeans_assign": f"{base} SELECT order_id, category, {numbers}, prediction FROM clustered",
+        "cluster_sizes": f"{base} SELECT prediction, count(*) AS row_count FROM clustered GROUP BY ALL",
+        "cluster_profile": f"{base} SELECT prediction AS cluster, {profile('avg_margin_pct')} FROM clustered GROUP BY ALL",
+        "cluster_category_counts": f"""{base} SELECT prediction AS cluster, category, count(*) AS cnt
+            FROM clustered GROUP BY ALL""",
+        "cluster_profile_with_category": f"""{base},
+            counts AS (SELECT prediction, category, count(*) AS n FROM clustered GROUP BY ALL),
+            most AS (SELECT * FROM counts
+                     QUALIFY row_number() OVER (PARTITION BY prediction ORDER BY n DESC, category) = 1)
+            SELECT p.*, category AS dominant_category, n AS dominant_category_count
+            FROM (SELECT prediction, {profile('avg_profit_margin_pct')} FROM clustered GROUP BY prediction) p
+            JOIN most USING (prediction)""",
+        "kmeans_silhouette": f"""{base},
+            sums AS (SELECT prediction AS c, count(*)::DOUBLE AS n, sum({squares}) / count(*) AS q,
+                     {', '.join(f'sum(z{i}) / 1e6::DOUBLE / count(*) AS s{i}' for i in z)} FROM clustered GROUP BY prediction),
+            far AS (SELECT id, prediction, c, n, {squares} - 2 * ({dot}) + q AS d FROM clustered, sums),
+            sides AS (SELECT id, max(CASE WHEN prediction = c AND n > 1 THEN d * n / (n - 1) END) AS a,
+                      min(CASE WHEN prediction <> c THEN d END) AS b FROM far GROUP BY id)
+            SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) + 0.0 AS silhouette FROM sides""",
+        "pca_scores": f"""{components} SELECT order_id, {score('one')} AS pc1, {score('two')} AS pc2, prediction AS cluster,
+            revenue::DOUBLE AS revenue, profit::DOUBLE AS profit, profit_margin_pct FROM clustered, one, two""",
+        "pca_variance": f"""{components}
+            SELECT 1 AS component, round(value / ({trace}), 6) + 0.0 AS explained_variance FROM one, spread
+            UNION ALL SELECT 2, round(value / ({trace}), 6) + 0.0 FROM two, spread""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -399,6 +493,7 @@ def oracle_sql() -> dict[str, str]:
     sql["kmeans_facts"] = f"""{ON_CLEAN}, {complete}
         SELECT COUNT(*) AS rows_clustered, COUNT(*) AS rows_in_clusters,
                0::BIGINT AS rows_off_centre, 0.0::DOUBLE AS cost_gap FROM complete"""
+    sql |= _cluster_sql(complete)
     # Model preparation and scoring that SQL can express.
     sql["label_index"] = f"""{ON_CLEAN}, {LABELS}
         SELECT column_name, label, CAST(place AS INTEGER) AS label_index, row_count FROM labels_"""

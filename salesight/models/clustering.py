@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -23,7 +20,8 @@ from ..operators.aggregate import (
 from ..operators.quality import require_non_null
 from ..operators.sampling import sample_rows
 from ..sources.staging import stage
-from .features import laid_out, scores_as_columns, standardize
+from . import lloyd
+from .features import laid_out, standardize
 
 # Clustering features and settings.
 FEATURES = ("revenue", "profit", "quantity", "unit_price", "profit_margin_pct")
@@ -54,29 +52,23 @@ def cluster_input(sales: DataFrame, keep: Sequence[str] = ("order_id", "category
     return standardize(rows, FEATURES)[0].drop("features_raw")
 
 
-def kmeans_elbow(
-    rows: DataFrame, ks: Sequence[int] = ELBOW, seed: int = SEED, parallelism: int = 4
-) -> DataFrame:
-    """Within-cluster sum of squares per k.
-
-    The vectors are kept once and shared by all fits, which run side by side.
-    """
-    vectors = rows.select("features").persist()
+def cluster_points(sales: DataFrame, keep: Sequence[str] = ("order_id", "category")) -> DataFrame:
+    """Staged rows with complete features, plus ``z``, their scores in millionths."""
+    numbers = [F.col(c).cast("double").alias(c) for c in FEATURES]
+    narrow = stage(require_non_null(sales, FEATURES).select(*keep, *numbers), "clusters").frame
+    return stage(lloyd.fixed_points(narrow, FEATURES), "points").frame
 
-    @inheritable_thread_target(rows.sparkSession)
-    def cost(k: int) -> tuple[int, float]:
-        model = KMeans(featuresCol="features", k=k, seed=seed).fit(vectors)
-        return k, float(model.summary.trainingCost)
 
-    with ThreadPool(parallelism) as pool:
-        found = pool.map(cost, list(ks))
-    vectors.unpersist()
-    return rows.sparkSession.createDataFrame(found, "k int, wcss double").orderBy("k")
+def kmeans_elbow(points: DataFrame, ks: Sequence[int] = ELBOW, steps: int = lloyd.STEPS) -> DataFrame:
+    """Within-cluster sum of squares per k; a step of all fits is one scan of the points."""
+    cost = lloyd.fit(points, ks, steps)[1]
+    listed = [(k, float(cost[k])) for k in ks]
+    return points.sparkSession.createDataFrame(listed, "k int, wcss double").orderBy("k")
 
 
-def kmeans_assign(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
+def kmeans_assign(points: DataFrame, k: int = CLUSTERS, steps: int = lloyd.STEPS) -> DataFrame:
     """Add the cluster number as ``prediction``."""
-    return KMeans(featuresCol="features", k=k, seed=seed).fit(rows).transform(rows)
+    return lloyd.assign(points, lloyd.fit(points, [k], steps)[0][k])
 
 
 def kmeans_facts(rows: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> DataFrame:
@@ -134,30 +126,33 @@ def cluster_profile_with_category(clustered: DataFrame) -> DataFrame:
     return profile_with_dominant(profile, dominant, "prediction").orderBy("prediction")
 
 
-def silhouette(clustered: DataFrame) -> float:
-    """Mean silhouette (squared Euclidean distance) of the assignment."""
-    return ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(clustered)
-
-
-def fit_pca(rows: DataFrame, k: int = 2):
-    return PCA(k=k, inputCol="features", outputCol="pca_features").fit(rows)
+def silhouette(clustered: DataFrame) -> DataFrame:
+    """One row: the mean silhouette (squared Euclidean distance) of the assignment."""
+    return lloyd.silhouette(clustered)
 
 
 def pca_scores(clustered: DataFrame, k: int = 2) -> DataFrame:
     """Principal-component scores beside the cluster and the money columns."""
     names = [f"pc{i + 1}" for i in range(k)]
-    projected = fit_pca(clustered, k).transform(clustered)
-    scored = scores_as_columns(projected, "pca_features", names)
+    scored = lloyd.project(clustered, lloyd.principal(clustered, k)[0], names)
     kept = [c for c in ("order_id",) if c in clustered.columns]
     return scored.select(
         *kept, *names, F.col("prediction").alias("cluster"), "revenue", "profit", "profit_margin_pct"
     )
 
 
-def pca_variance(rows: DataFrame, k: int = 2) -> DataFrame:
+def pca_variance(points: DataFrame, k: int = 2) -> DataFrame:
     """Share of variance per principal component."""
-    shares = fit_pca(rows, k).explainedVariance.toArray()
-    listed = [(i + 1, float(v)) for i, v in enumerate(shares)]
+    listed = [(i + 1, float(v)) for i, v in enumerate(lloyd.principal(points, k)[1])]
+    return points.sparkSession.createDataFrame(
+        listed, "component int, explained_variance double"
+    ).orderBy("component")
+
+
+def vector_pca_variance(rows: DataFrame, k: int = 2) -> DataFrame:
+    """The same of a vector column ``features`` of any width, by Spark's own PCA."""
+    fitted = PCA(k=k, inputCol="features", outputCol="pca_features").fit(rows)
+    listed = [(i + 1, float(v)) for i, v in enumerate(fitted.explainedVariance.toArray())]
     return rows.sparkSession.createDataFrame(
         listed, "component int, explained_variance double"
     ).orderBy("component")

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from salesight.models import clustering, features, regression
+from salesight.models import clustering, features, lloyd, regression
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +26,13 @@ def vectors(clean):
 
 
 @pytest.fixture(scope="module")
-def clustered(vectors):
-    return clustering.kmeans_assign(vectors).persist()
+def points(clean):
+    return clustering.cluster_points(clean)
+
+
+@pytest.fixture(scope="module")
+def clustered(points):
+    return clustering.kmeans_assign(points).persist()
 
 
 def test_labels_go_by_frequency_then_name(spark):
@@ -120,9 +125,9 @@ def test_same_rows_train_the_same_forest(clean):
 def test_training_does_not_depend_on_the_layout(spark, clean):
     """Shuffle partitions, coalescing and read splits move no result beyond rounding."""
     def results():
-        vectors = clustering.cluster_input(clean)
-        sizes = sorted(r.row_count for r in clustering.cluster_sizes(clustering.kmeans_assign(vectors)).collect())
-        wcss = clustering.kmeans_elbow(vectors, [6]).first().wcss
+        points = clustering.cluster_points(clean)
+        sizes = sorted(r.row_count for r in clustering.cluster_sizes(clustering.kmeans_assign(points)).collect())
+        wcss = clustering.kmeans_elbow(points, [6]).first().wcss
         rows = regression.regression_input(clean)
         model = regression.fit_forest(regression.part(rows, "train"), trees=3)
         return sizes, wcss, model.transform(rows).agg(F.sum("prediction")).first()[0]
@@ -152,22 +157,59 @@ def test_rows_without_margin_are_left_out_of_clusters(clean, vectors):
     assert vectors.where("profit_margin_pct IS NULL").count() == 0
 
 
-def test_elbow_falls(vectors):
-    cost = {r.k: r.wcss for r in clustering.kmeans_elbow(vectors, [2, 4, 8]).collect()}
+def test_elbow_falls(points):
+    cost = {r.k: r.wcss for r in clustering.kmeans_elbow(points, [2, 4, 8]).collect()}
     assert cost[2] > cost[4] > cost[8] > 0
 
 
 def test_assignment_is_the_nearest_centre(clustered):
     assert {r.prediction for r in clustered.select("prediction").distinct().collect()} == {0, 1, 2, 3}
-    sample = clustered.select(vector_to_array("features").alias("z"), "prediction").collect()
-    z, side = np.array([r.z for r in sample]), np.array([r.prediction for r in sample])
+    sample = clustered.select("z", "prediction").collect()
+    z, side = np.array([r.z for r in sample], float), np.array([r.prediction for r in sample])
     centres = np.array([z[side == k].mean(axis=0) for k in range(4)])
     nearest = ((z[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
     assert (nearest == side).mean() > 0.97
 
 
+def plain_lloyd(z, start, steps):
+    centres = np.array(start, float)
+    for _ in range(steps):
+        side = ((z[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([z[side == j].mean(axis=0) if (side == j).any() else c for j, c in enumerate(centres)])
+    return centres, ((z[:, None, :] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum() / lloyd.UNIT**2
+
+
+def test_all_fits_equal_plain_ones(points):
+    z = np.array([r.z for r in points.select("z").collect()], float)
+    start = lloyd.start_centres(points, 5)
+    assert len(set(start)) == 5
+    centres, cost = lloyd.fit(points, [2, 5], 7)
+    for k in (2, 5):
+        expected, expected_cost = plain_lloyd(z, start[:k], 7)
+        assert np.array(centres[k]) == pytest.approx(expected) and cost[k] == pytest.approx(expected_cost)
+
+
+def test_a_step_is_one_scan_for_all_fits(points):
+    start = lloyd.start_centres(points, 8)
+    step = lloyd.step_sums(points, {k: start[:k] for k in range(2, 9)})
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "Join" not in plan and "Python" not in plan
+
+
+def test_few_equal_or_no_points(spark):
+    rows = [(1.0, 5.0)] * 40 + [(2.0, 5.0)] * 3
+    df = lloyd.fixed_points(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    centres, cost = lloyd.fit(df, [2, 4], 20)
+    assert len(centres[2]) == len(centres[4]) == 2 and cost[4] == 0
+    assert sorted(r["count"] for r in lloyd.assign(df, centres[4]).groupBy("prediction").count().collect()) == [3, 40]
+    none = df.limit(0)
+    assert lloyd.fit(none, [3], 20) == ({3: []}, {3: 0.0}) and lloyd.assign(none, []).count() == 0
+    assert lloyd.silhouette(lloyd.assign(none, [])).first()[0] is None
+
+
 def test_same_rows_give_the_same_clusters(clean, clustered):
-    again = clustering.kmeans_assign(clustering.cluster_input(clean))
+    again = clustering.kmeans_assign(clustering.cluster_points(clean))
     count = lambda df: sorted(tuple(r) for r in df.groupBy("prediction").count().collect())
     assert count(again) == count(clustered)
 
@@ -188,18 +230,25 @@ def test_profiles_agree_with_the_rows(clustered):
         assert (r.dominant_category, r.dominant_category_count) == best[r.prediction]
 
 
-def test_silhouette_is_in_range(clustered):
-    assert 0 < clustering.silhouette(clustered) <= 1
+def test_silhouette_equals_the_evaluator(clustered):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    features_ = array_to_vector(F.transform("z", lambda x: x / 1e6)).alias("features")
+    expected = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(
+        clustered.select(features_, "prediction")
+    )
+    assert clustering.silhouette(clustered).first()[0] == pytest.approx(expected)
 
 
 def test_projection_equals_the_covariance_eigenvectors(clustered):
-    z = np.array([r.z for r in clustered.select(vector_to_array("features").alias("z")).collect()])
+    z = np.array([r.z for r in clustered.select("z").collect()]) / lloyd.UNIT
     values = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
     shares = [r.explained_variance for r in clustering.pca_variance(clustered).collect()]
     assert shares == pytest.approx(list(values[:2] / values.sum()))
     scores = clustering.pca_scores(clustered)
-    spread = scores.agg(F.var_samp("pc1"), F.var_samp("pc2")).first()
-    assert list(spread) == pytest.approx(list(values[:2]), rel=1e-6)
+    spread = scores.agg(F.var_samp("pc1"), F.var_samp("pc2"), F.corr("pc1", "pc2")).first()
+    assert list(spread[:2]) == pytest.approx(list(values[:2]), rel=1e-6) and abs(spread[2]) < 1e-6
 
 
 def test_scatter_sample_is_capped_on_request_only(clustered):

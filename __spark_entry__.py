@@ -162,13 +162,20 @@ def _pca_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("order_id", "revenue", "profit", "profit_margin_pct")
 
 
-def _predictions(fit) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = regression.regression_input(clean(spark, sf_dir))
-        scored = fit(regression.part(rows, "train")).transform(regression.part(rows, "test"))
-        return scored.select(*regression.INPUTS, "prediction")
+def _predict_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = regression.regression_input(clean(spark, sf_dir))
+    scored = regression.fit_forest(regression.part(rows, "train")).transform(regression.part(rows, "test"))
+    return scored.select(*regression.INPUTS, "prediction")
+
+
+def _linear_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = regression.regression_input(clean(spark, sf_dir), keys=SPLIT_KEYS)
+    return regression.predict_linear(rows).select(*regression.INPUTS, "prediction")
+
 
-    return run
+def _linear_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = regression.regression_metrics(_linear_predictions(spark, sf_dir), {"LinearRegression": "prediction"})
+    return found.select("model", *[F.round(c, n).alias(c) for c, n in (("rmse", 4), ("mae", 4), ("r2", 6))])
 
 
 def _model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,13 +305,19 @@ def queries() -> dict[str, Query]:
         "q12": _on(clean, reports.q12_corrective_actions),
         # model preparation and scoring
         "label_index": _on(clean, features.label_index),
-        "one_hot": _on(clean, features.one_hot_totals),
+        "one_hot": _on(
+            clean,
+            lambda df: features.one_hot_slots(df.select("order_id", "product_name", *features.CATEGORICAL)),
+        ),
         "standardize": _standardize,
         "baseline_metrics": _baseline_metrics,
         "train_test_split": _split,
         "split_sizes": _on(_split, sampling.split_sizes),
-        "predict_linear": _predictions(regression.fit_linear),
-        "predict_forest": _predictions(regression.fit_forest),
+        "predict_linear": lambda spark, sf_dir: _linear_predictions(spark, sf_dir).withColumn(
+            "prediction", F.round("prediction", 2) + 0.0
+        ),
+        "linear_metrics": _linear_metrics,
+        "predict_forest": _predict_forest,
         "regression_metrics": _model_metrics,
         "feature_importance": _importance,
         # clusters and projection

@@ -270,6 +270,47 @@ def _cluster_sql(complete: str) -> dict[str, str]:
     }
 
 
+def _linear_sql() -> dict[str, str]:
+    """Least squares by elimination on the normal equations, the first label of each column left out."""
+    labels, numbers = ("category", "sub_category", "region"), ("quantity", "unit_price", "revenue")
+    values = " UNION ALL ".join(
+        [f"SELECT id, 1 AS y, {i} AS place, '' AS label, {x}::DOUBLE AS v FROM split" for i, x in enumerate(("1", *numbers))]
+        + [f"SELECT id, 1, {10 + i}, {c}, 1.0::DOUBLE FROM split WHERE {c} <> (SELECT min({c}) FROM split)" for i, c in enumerate(labels)]
+    )
+    base = f"""{ON_CLEAN.replace('WITH ', 'WITH RECURSIVE ', 1)},
+        split AS (SELECT *, {SPLIT} AS part, row_number() OVER () AS id FROM clean),
+        cells AS ({values}),
+        places AS (SELECT place, label, row_number() OVER (ORDER BY place, label) AS j FROM (SELECT DISTINCT place, label FROM cells)),
+        design AS (SELECT id, j, v, part, profit::DOUBLE AS profit
+                   FROM cells JOIN places USING (place, label) JOIN split USING (id)),
+        products AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS v FROM design a JOIN design b USING (id)
+                     WHERE a.part = 'train' GROUP BY a.j, b.j
+                     UNION ALL SELECT j, (SELECT count(*) + 1 FROM places), sum(v * profit) FROM design WHERE part = 'train' GROUP BY j),
+        cells_ AS (SELECT i, j, coalesce(p.v, 0) AS v FROM (SELECT q.j AS i, t.j FROM places q, range(1, (SELECT count(*) + 2 FROM places)) t(j))
+                   LEFT JOIN products p USING (i, j)),
+        matrix AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS r FROM cells_ GROUP BY i)),
+        diagonal AS (SELECT list_transform(m, lambda r, i: r[i]) AS d FROM matrix),
+        solving AS (
+            SELECT 1 AS step, m FROM matrix
+            UNION ALL
+            SELECT step + 1, CASE WHEN abs(m[step][step]) > 1e-9 * d[step]
+                THEN list_transform(m, lambda r, i: CASE WHEN i = step THEN list_transform(r, lambda x: x / m[step][step])
+                     ELSE list_transform(r, lambda x, c: x - r[step] * m[step][c] / m[step][step]) END)
+                ELSE list_transform(m, lambda r, i: CASE WHEN i = step THEN list_transform(r, lambda x: 0.0::DOUBLE) ELSE r END) END
+            FROM solving, diagonal WHERE step <= len(m)
+        ),
+        solved AS (SELECT list_transform(m, lambda r: r[len(m) + 1]) AS b FROM solving WHERE step = len(m) + 1),
+        scored AS (SELECT id, sum(v * b[j]) AS prediction FROM design, solved WHERE part = 'test' GROUP BY id)"""
+    inputs = ", ".join([*labels, *[f"{c}::DOUBLE AS {c}" for c in (*numbers, "profit")]])
+    return {
+        "predict_linear": f"""{base} SELECT {inputs}, round(prediction, 2) + 0.0 AS prediction
+            FROM split JOIN scored USING (id)""",
+        "linear_metrics": f"""{base}, e AS (SELECT profit::DOUBLE AS y, profit::DOUBLE - prediction AS err FROM split JOIN scored USING (id))
+            SELECT 'LinearRegression' AS model, round(sqrt(avg(err * err)), 4) AS rmse, round(avg(abs(err)), 4) AS mae,
+                   round(1 - sum(err * err) / (var_pop(y) * count(*)), 6) AS r2 FROM e""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -493,12 +534,21 @@ def oracle_sql() -> dict[str, str]:
     sql["kmeans_facts"] = f"""{ON_CLEAN}, {complete}
         SELECT COUNT(*) AS rows_clustered, COUNT(*) AS rows_in_clusters,
                0::BIGINT AS rows_off_centre, 0.0::DOUBLE AS cost_gap FROM complete"""
-    sql |= _cluster_sql(complete)
+    sql |= _cluster_sql(complete) | _linear_sql()
     # Model preparation and scoring that SQL can express.
     sql["label_index"] = f"""{ON_CLEAN}, {LABELS}
         SELECT column_name, label, CAST(place AS INTEGER) AS label_index, row_count FROM labels_"""
+    slots = ", ".join(
+        f"array_to_string(list_transform(range((SELECT count(*) FROM labels_ WHERE column_name = '{c}')), "
+        f"lambda i: CASE WHEN i = {c}_.place THEN 1 ELSE 0 END), '') AS {c}_slots"
+        for c in ("category", "sub_category", "region")
+    )
+    joins = " ".join(
+        f"LEFT JOIN labels_ {c}_ ON {c}_.column_name = '{c}' AND {c}_.label = clean.{c}"
+        for c in ("category", "sub_category", "region")
+    )
     sql["one_hot"] = f"""{ON_CLEAN}, {LABELS}
-        SELECT column_name, label, CAST(place AS INTEGER) AS slot, row_count AS ones FROM labels_"""
+        SELECT order_id, product_name, category, sub_category, region, {slots} FROM clean {joins}"""
     sql["standardize"] = (
         f"{ON_CLEAN}, complete AS (SELECT * FROM clean WHERE profit_margin_pct IS NOT NULL) "
         "SELECT order_id, "

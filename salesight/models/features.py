@@ -21,6 +21,10 @@ LABEL = "profit"
 #: Rows of a partition that models train on, about.
 ROWS_EACH = 100_000
 
+#: Labels of a column that are looked up in a broadcast, at most.
+FREQUENT = 10_000
+
+
 def encoding_stages(categorical: Sequence[str] = CATEGORICAL) -> list[Estimator]:
     """One indexer and one encoder for all columns.
 
@@ -66,19 +70,47 @@ def label_index(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
     )
 
 
-def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
+def encode(
+    df: DataFrame, labels: DataFrame, cols: Sequence[str] = CATEGORICAL, frequent: int = FREQUENT
+) -> DataFrame:
+    """Add ``<column>_idx``, the index of each column's label; null for a null or unseen one.
+
+    ``labels`` is a written table as of ``label_index``. Indexes go by frequency, so those
+    below ``frequent`` are the first tier: a broadcast of that many rows serves most rows
+    without a shuffle. Only rows with a rarer label are joined with the rest of the table, which
+    is spread by label; no label list is on the driver or in one task.
+    """
+    counts = labels.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()
+    n_labels = {r.column_name: r.n for r in counts}
+    for c in cols:
+        marked, index = f"{c}_label_", f"{c}_idx"
+        own = labels.where(F.col("column_name") == c).select(
+            F.col("label").alias(marked), F.col("label_index").alias(index)
+        )
+        value = F.col(c).cast("string")
+        plain = df.columns
+        first = df.join(F.broadcast(own.where(F.col(index) < frequent)), value == F.col(marked), "left")
+        if n_labels.get(c, 0) > frequent:
+            first = stage(first.drop(marked), "encoded").frame
+            rare = F.col(index).isNull() & F.col(c).isNotNull()
+            found = first.where(rare).drop(index).join(
+                own.where(F.col(index) >= frequent), value == F.col(marked), "left"
+            )
+            first = first.where(~rare).unionByName(found.select(*plain, index))
+        df = first.select(*plain, index)
+    return df
+
+
+def one_hot(df: DataFrame, cols: Sequence[str] = CATEGORICAL, frequent: int = FREQUENT) -> DataFrame:
     """Encode the columns; adds ``<column>_vec`` (sparse) and the index behind it.
 
     A NULL gets an index of its own, the slot the encoder leaves out.
     """
     table = stage(label_index(df, cols), "label-index").frame
     most = {r.column_name: r.n for r in table.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    df = encode(df, table, cols, frequent)
     for c in cols:
-        own = table.where(F.col("column_name") == c).select(
-            F.col("label").alias("_label"), F.col("label_index").cast("double").alias(f"{c}_idx")
-        )
-        df = df.join(own, F.col(c).cast("string") == F.col("_label"), "left").drop("_label")
-        index = F.coalesce(f"{c}_idx", F.lit(float(most.get(c, 0))))
+        index = F.coalesce(F.col(f"{c}_idx").cast("double"), F.lit(float(most.get(c, 0))))
         names = _nominal(c, most.get(c, 0) + 1)
         df = df.withColumn(f"{c}_idx", index).withMetadata(f"{c}_idx", names)
     index, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
@@ -90,11 +122,11 @@ def _nominal(name: str, n: int) -> dict:
     return {"ml_attr": {"type": "nominal", "name": f"{name}_idx", "num_vals": n}}
 
 
-def one_hot_totals(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Rows that set each vector slot, with the label behind it."""
-    return label_index(df, cols).select(
-        "column_name", "label", F.col("label_index").alias("slot"), F.col("row_count").alias("ones")
-    )
+def one_hot_slots(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """``df`` with the columns' vectors written out, a digit for each slot, as ``<column>_slots``."""
+    found = one_hot(df, cols)
+    digits = {f"{c}_slots": F.array_join(vector_to_array(f"{c}_vec").cast("array<int>"), "") for c in cols}
+    return found.withColumns(digits).select(*df.columns, *digits)
 
 
 def laid_out(df: DataFrame, rows_each: int = ROWS_EACH) -> DataFrame:

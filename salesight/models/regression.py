@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sampling import train_test_split
 from ..sources.staging import stage
+from . import least_squares
 from .features import CATEGORICAL, LABEL, NUMERIC, feature_pipeline, laid_out
 
 # Model settings.
@@ -75,14 +76,27 @@ def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED) -> Pipeli
     return feature_pipeline(forest(trees=trees, seed=seed)).fit(train)
 
 
+def fit_least_squares(
+    train: DataFrame,
+    numeric: Sequence[str] = NUMERIC,
+    categorical: Sequence[str] = CATEGORICAL,
+) -> least_squares.LinearFit:
+    """The linear profit model from one aggregate of the training rows."""
+    return least_squares.fit(train, numeric, categorical, LABEL)
+
+
+def predict_linear(rows: DataFrame) -> DataFrame:
+    """The test rows with the prediction of the linear model."""
+    return least_squares.predict(part(rows, "test"), fit_least_squares(part(rows, "train")))
+
+
 def compare_models(rows: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
-    """Test rows with both predictions; the features are fitted and built once."""
+    """Test rows with both predictions."""
     train, test = part(rows, "train"), part(rows, "test")
     features = feature_pipeline().fit(train)
-    ready = features.transform(train).select("features", LABEL)
-    by_line = linear("linear").fit(ready)
-    by_trees = forest("forest", trees, seed).fit(ready)
-    return by_trees.transform(by_line.transform(features.transform(test)))
+    by_trees = forest("forest", trees, seed).fit(features.transform(train).select("features", LABEL))
+    by_line = least_squares.predict(test, fit_least_squares(train), "linear")
+    return by_trees.transform(features.transform(by_line))
 
 
 def regression_metrics(

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from salesight.models import clustering, features, lloyd, regression
+from salesight.models import clustering, features, least_squares, lloyd, regression
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +65,29 @@ def test_one_hot_of_rows(spark):
     found = features.one_hot(df, ["x"])
     rows = {(r.x, r.n): (r.x_idx, r.v) for r in found.select("x", "n", "x_idx", vector_to_array("x_vec").alias("v")).collect()}
     assert rows == {("b", 1): (0.0, [1.0, 0.0]), ("a", 2): (1.0, [0.0, 1.0]), (None, 3): (2.0, [0.0, 0.0])}
-    assert {r.label: (r.slot, r.ones) for r in features.one_hot_totals(df, ["x"]).collect()} == {"b": (0, 2), "a": (1, 1)}
+    assert {(r.x, r.x_slots) for r in features.one_hot_slots(df, ["x"]).collect()} == {("b", "10"), ("a", "01"), (None, "00")}
+
+
+@pytest.mark.parametrize("frequent", [1, 7, 1000])
+def test_both_tiers_give_the_same_indexes(spark, frequent):
+    df = spark.range(2000).select(
+        F.concat(F.lit("v"), F.floor(F.sqrt("id"))).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("y"), "id"
+    )
+    table = features.stage(features.label_index(df, ["x", "y"])).frame
+    index = {(r.column_name, r.label): r.label_index for r in table.collect()}
+    both = df.unionByName(spark.createDataFrame([("new", 99, 5000)], "x string, y bigint, id bigint"))
+    found = features.encode(both, table, ["x", "y"], frequent)
+    assert found.columns == ["x", "y", "id", "x_idx", "y_idx"]
+    rows = found.collect()
+    assert len(rows) == 2001
+    assert all(r.x_idx == index.get(("x", r.x)) and r.y_idx == index.get(("y", str(r.y))) for r in rows)
+
+
+def test_frequent_labels_need_no_shuffle_of_the_rows(spark):
+    df = spark.range(100).select(F.concat(F.lit("v"), F.col("id") % 5).alias("x"), "id")
+    table = features.stage(features.label_index(df, ["x"])).frame
+    plan = features.encode(df, table, ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 def test_split_keeps_all_rows(clean, rows):
@@ -96,6 +118,48 @@ def test_linear_model_reaches_least_squares(rows):
     assert np.sqrt((ours**2).mean()) == pytest.approx(np.sqrt((best**2).mean()), rel=1e-3)
 
 
+LABELLED = "a string, b string, u double, w double, y double"
+
+
+def test_sums_of_products_reach_least_squares(spark):
+    rng = np.random.default_rng(5)
+    rows = [
+        (f"a{i % 4}", f"b{i % 4 if i % 2 else 9}", float(rng.normal(1e4, 50)), float(rng.integers(1, 9)), float(rng.normal()))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame([*rows, (None, "b9", 1e4, 2.0, 1.0), ("a1", "b1", None, 2.0, 3.0)], LABELLED).repartition(5)
+    fitted = least_squares.fit(df, ["u", "w"], ["a", "b"], "y")
+    full = [*rows, (None, "b9", 1e4, 2.0, 1.0)]
+    names = [list({r[c] for r in full}) for c in (0, 1)]
+    x = np.array([[1, r[2], r[3]] + [float(r[c] == n) for c in (0, 1) for n in names[c]] for r in full])
+    y = np.array([r[4] for r in full])
+    expected = x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    found = {tuple(r[:5]): r.p for r in least_squares.predict(df, fitted, "p").collect()}
+    assert [found[r] for r in full] == pytest.approx(list(expected), abs=1e-6)
+    assert found["a1", "b1", None, 2.0, 3.0] is None
+    new = spark.createDataFrame([("new", "newer", 1e4, 2.0, 0.0)], LABELLED)
+    mean = fitted.intercept + fitted.slopes["u"] * 1e4 + fitted.slopes["w"] * 2
+    assert least_squares.predict(new, fitted, "p").first().p == pytest.approx(mean)
+
+
+def test_least_squares_without_rows_labels_or_room(spark):
+    df = spark.createDataFrame([("a", "b", float(i), 1.0, 2.0 * i + 1) for i in range(9)], LABELLED)
+    line = least_squares.fit(df, ["u"], [], "y")
+    assert (line.intercept, line.slopes["u"]) == pytest.approx((1, 2))
+    none = least_squares.fit(df.limit(0), ["u"], ["a"], "y")
+    assert none.intercept == 0 and none.slopes == {"u": 0} and none.effects.count() == 0
+    assert least_squares.predict(df.limit(0), none).count() == 0
+    with pytest.raises(ValueError):
+        least_squares.fit(df, ["u"], ["a", "b"], "y", most_unknowns=3)
+
+
+def test_products_are_summed_in_one_scan(rows):
+    train = regression.part(rows, "train").select(*regression.INPUTS)
+    sums = least_squares.product_sums(features.stage(train).frame, regression.NUMERIC, regression.CATEGORICAL, "profit")
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "Python" not in plan
+
+
 def test_importances_carry_the_right_names(spark):
     """Only the price drives the label, so the price must come first."""
     df = spark.range(400).select(

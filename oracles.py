@@ -568,4 +568,20 @@ def oracle_sql() -> dict[str, str]:
         SELECT model, round(sqrt(avg(err * err)), 4) AS rmse, round(avg(abs(err)), 4) AS mae,
                round(1 - SUM(err * err) / (var_pop(y) * COUNT(*)), 6) + 0.0 AS r2
         FROM e GROUP BY model"""
+    # Kept tables.
+    sql["clean_in_batches"] = sql["clean_sales"]
+    sql["kpi_cube"] = f"""{ON_CLEAN},
+        tiers AS (SELECT *, {_tier(150, 550)} AS price_tier FROM clean)
+        SELECT CASE WHEN GROUPING(product_name) = 0 THEN 'product'
+                    WHEN GROUPING(sub_category) = 0 THEN 'sub_category'
+                    WHEN GROUPING(state) = 0 THEN 'state'
+                    WHEN GROUPING(order_year_month) = 0 THEN 'month' ELSE 'price_tier' END AS level,
+               product_name, category, region, sub_category, state, order_year_month, price_tier,
+               COUNT(*) AS order_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+               {_r2('SUM(revenue)', 'total_revenue')}, {_r2('SUM(profit)', 'total_profit')}
+        FROM tiers
+        GROUP BY GROUPING SETS ((product_name, category, region), (sub_category, category),
+                                (state, region), (order_year_month), (price_tier))"""
+    for n in range(1, 13):
+        sql[f"cube_q{n:02d}"] = sql[f"q{n:02d}"]
     return sql

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import margin_pct, ratio, round2
+from .cube import KpiCube, kpi_sums
 
 
 def group_counts(df: DataFrame, keys: Sequence[str], out: str = "row_count") -> DataFrame:
@@ -33,18 +34,13 @@ def value_counts(df: DataFrame, cols: Sequence[str], n: int | None = None) -> Da
     return counts.orderBy("column_name", F.desc("row_count"), "value")
 
 
-def group_kpis(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts, unrounded sums and margin of sums per key tuple."""
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("profit").alias("total_profit"),
-        )
-        .withColumn("profit_margin_pct", margin_pct("total_profit", "total_revenue"))
-    )
+def group_kpis(sales: DataFrame | KpiCube, keys: Sequence[str]) -> DataFrame:
+    """Counts, unrounded sums and margin of sums per key tuple, of rows or of a cube."""
+    if isinstance(sales, KpiCube):
+        sums = sales.sums(keys)
+    else:
+        sums = sales.groupBy(*keys).agg(*kpi_sums())
+    return sums.withColumn("profit_margin_pct", margin_pct("total_profit", "total_revenue"))
 
 
 def order_averages(kpis: DataFrame) -> DataFrame:

@@ -188,6 +188,11 @@ def _base_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in DERIVED]
 
 
+def valid_rows(df: DataFrame) -> DataFrame:
+    """Complete rows within range, without the derived date parts; repeats stay."""
+    return filter_ranges(require_non_null(df.select(*[f"`{c}`" for c in _base_columns(df)])))
+
+
 def clean_sales(df: DataFrame) -> DataFrame:
     """Drop incomplete and out-of-range rows and repeated rows; add date parts and margin.
 
@@ -197,8 +202,7 @@ def clean_sales(df: DataFrame) -> DataFrame:
     zero revenue stay, with a NULL margin. The de-duplication has to compare whole
     rows: write its result once and run reports on the written table.
     """
-    kept = filter_ranges(require_non_null(df.select(*_base_columns(df))))
-    return with_margin(date_parts(kept.dropDuplicates()))
+    return with_margin(date_parts(valid_rows(df).dropDuplicates()))
 
 
 def cleaning_report(df: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.labels import PRICE_CUTS, nth_label, tier_labels, tier_number
 from ..functions.measures import round2
 from ..operators.aggregate import group_kpis, group_sum, rounded
+from ..operators.cube import tiered
 from ..operators.ordering import top_k
-from ..operators.prepare import with_price_tier
 
 MONEY = ("total_revenue", "total_profit")
 
@@ -39,7 +39,7 @@ def dimension_overview(
 
 
 def price_tier_overview(sales: DataFrame, cuts: Sequence[float] = PRICE_CUTS) -> DataFrame:
-    return dimension_overview(with_price_tier(sales, cuts), "price_tier", with_quantity=True)
+    return dimension_overview(tiered(sales, cuts), "price_tier", with_quantity=True)
 
 
 def monthly_overview(sales: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The twelve business reports over a clean sales table.
+"""The twelve business reports over a clean sales table or a written KPI cube of one.
 
 Each report is: KPIs per group, then shares, ranks, tiles or benchmarks on the
 unrounded figures, then labels, rounding, order and limit. Where the KPIs are used
@@ -17,6 +17,7 @@ from ..functions import labels as L
 from ..functions.measures import round2
 from ..operators.aggregate import group_kpis, order_averages, rounded
 from ..operators.benchmark import mean_of, overall_margin, with_benchmark, with_shares
+from ..operators.cube import tiered
 from ..operators.ordering import (
     top_k,
     top_with_ranks,
@@ -24,7 +25,6 @@ from ..operators.ordering import (
     with_ranks,
     with_tiles,
 )
-from ..operators.prepare import with_price_tier
 from ..sources.staging import stage
 
 SHARES = {"revenue_share_pct": "total_revenue", "profit_share_pct": "total_profit"}
@@ -140,7 +140,7 @@ def q05_margin_ranking(sales: DataFrame, k: int = 10) -> DataFrame:
 def q06_price_tiers(sales: DataFrame, cuts: Sequence[float] = L.PRICE_CUTS) -> DataFrame:
     """KPIs per price tier."""
     money = ["total_revenue", "total_profit", "profit_margin_pct"]
-    tiers = group_kpis(with_price_tier(sales, cuts), ["price_tier"])
+    tiers = group_kpis(tiered(sales, cuts), ["price_tier"])
     return (
         rounded(tiers, money)
         .select("price_tier", "order_count", "total_quantity", *money)
@@ -179,10 +179,8 @@ def q07_share_without_margin(sales: DataFrame, include_all: bool = False) -> Dat
 
 def q08_monthly_growth(sales: DataFrame) -> DataFrame:
     """Monthly totals with the previous month and growth, on rounded revenue."""
-    sums = sales.groupBy("order_year_month").agg(
-        round2(F.sum("revenue")).alias("total_revenue"),
-        round2(F.sum("profit")).alias("total_profit"),
-    )
+    money = ["total_revenue", "total_profit"]
+    sums = rounded(group_kpis(sales, ["order_year_month"]), money).select("order_year_month", *money)
     grown = with_growth(
         sums, "total_revenue", "order_year_month", "prev_month_revenue", "mom_growth_pct"
     )

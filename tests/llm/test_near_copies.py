@@ -73,3 +73,22 @@ def test_stage_of_the_pipeline_links_near_copies(spark, small_dir):
     kept = {r.doc_id for r in C.STAGES[2][1](spark, whole, small_dir).select("doc_id").collect()}
     assert kept == brute_firsts({r.doc_id: r.text for r in whole.collect()})[0]
     assert not kept & {i for i, _ in copies}
+
+
+def test_a_large_group_is_compared_along_chains(spark, monkeypatch):
+    """Members that share shingles two by two: far fewer comparisons than pairs, one row left."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(120):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"x{rng.randrange(8)}"
+        texts[i] = " ".join(words)
+    seen = []
+    near = N.near_sets
+    monkeypatch.setattr(N, "near_sets", lambda pairs, packed: seen.append(pairs.count()) or near(pairs, packed))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    kept = {r.doc_id for r in N.one_of_each(docs).collect()}
+    expected, pairs = brute_firsts(texts)
+    assert kept == expected
+    assert len(pairs) > 1500 and sum(seen) < 400

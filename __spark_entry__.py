@@ -20,11 +20,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from salesight.models import clustering, features, regression  # noqa: E402
 from salesight.operators import aggregate, describe, prepare, quality  # noqa: E402
-from salesight.operators import cube, sampling  # noqa: E402
+from salesight.operators import cube, sampling, sketches  # noqa: E402
 from salesight.operators.benchmark import overall_margin, with_benchmark  # noqa: E402
 from salesight.plans import incremental, overviews, reports  # noqa: E402
 from salesight.session import tune  # noqa: E402
-from salesight.sources import files, star  # noqa: E402
+from salesight.sources import files, rejects, star  # noqa: E402
 from salesight.sources.staging import stage, staged_path  # noqa: E402
 
 try:
@@ -236,6 +236,40 @@ def _cube_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.rounded(found, ["total_revenue", "total_profit"])
 
 
+def _planted_csv(spark: SparkSession, sf_dir: str) -> rejects.Scan:
+    """Two CSV tables, one without states, with lines of a field too many and wrong values."""
+    order = F.col("`Order ID`")
+    rows = raw(spark, sf_dir).withColumns(
+        {
+            "Product Name": F.when(order % 43 == 0, F.concat("Product Name", F.lit(",x"))).otherwise(F.col("Product Name")),
+            "Quantity": F.when(order % 47 == 0, F.lit("many")).otherwise(F.col("Quantity").cast("string")),
+        }
+    )
+    rows, paths = stage(rows, "planted").frame, [staged_path(spark, "csv") for _ in range(2)]
+    unquoted = {"quote": "\u0000"}
+    files.write_table(rows.where(order % 2 == 0), paths[0], fmt="csv", options=unquoted)
+    files.write_table(rows.where(order % 2 != 0).drop("State"), paths[1], fmt="csv", options=unquoted)
+    return rejects.scan_with_rejects(spark, paths)
+
+
+def _scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _planted_csv(spark, sf_dir).rejects
+    return found.select(F.split("line", ",")[0].cast("bigint").alias("order_id"), "reason")
+
+
+def _within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct products and orders by region, and whether sketches by day come near."""
+    rows = stage(clean(spark, sf_dir).select(*sketches.COUNTED, *sketches.MEASURED, sketches.DAY, "category", "region"), "sold").frame
+    days = stage(sketches.daily_sketches(rows), "days").frame
+    exact = rows.groupBy("region").agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in sketches.COUNTED])
+    near = [
+        (F.abs(F.col(f"distinct_{c}") - F.col(f"exact_{c}")) <= 0.06 * F.col(f"exact_{c}")).alias(f"near_{c}")
+        for c in sketches.COUNTED
+    ]
+    both = exact.join(sketches.distinct_from(days, ["region"]), "region")
+    return both.select("region", *[f"exact_{c}" for c in sketches.COUNTED], *near)
+
+
 REPORTS = {
     "q01": reports.q01_category_ranking,
     "q02": reports.q02_region_strength,
@@ -368,6 +402,11 @@ def queries() -> dict[str, Query]:
     }
     # kept tables: cleaning in batches, and the reports from one written cube
     found |= {"clean_in_batches": _clean_in_batches, "kpi_cube": _cube_rows}
+    found |= {
+        "scan_rejects": _scan_rejects,
+        "scan_accepted": lambda spark, sf_dir: _planted_csv(spark, sf_dir).rows,
+        "sketched_distinct": _within,
+    }
     found |= {f"cube_{name}": _on(_cube, report) for name, report in REPORTS.items()}
     if corpus is not None:
         found |= corpus.queries() | {"pipeline": corpus_pipeline.run}

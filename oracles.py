@@ -584,4 +584,13 @@ def oracle_sql() -> dict[str, str]:
                                 (state, region), (order_year_month), (price_tier))"""
     for n in range(1, 13):
         sql[f"cube_q{n:02d}"] = sql[f"q{n:02d}"]
+    sql["scan_rejects"] = f"""{ON_RAW}
+        SELECT order_id, CASE WHEN order_id % 43 = 0 THEN 'number of fields' ELSE 'quantity is not int' END AS reason
+        FROM raw WHERE order_id % 43 = 0 OR order_id % 47 = 0"""
+    by_layout = "CASE WHEN order_id % 2 = 0 THEN state END AS state"
+    sql["scan_accepted"] = f"""{ON_RAW} SELECT {_text_columns().replace("state", by_layout)}
+        FROM raw WHERE order_id % 43 <> 0 AND order_id % 47 <> 0"""
+    sql["sketched_distinct"] = f"""{ON_CLEAN}
+        SELECT region, COUNT(DISTINCT order_id) AS exact_order_id, COUNT(DISTINCT product_name) AS exact_product_name,
+               true AS near_order_id, true AS near_product_name FROM clean GROUP BY region"""
     return sql

@@ -134,16 +134,23 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, blocks: int
 
 
 def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Those of ``docs`` that come first by ``found`` (doc_id, tk and the first row's place)."""
+    """Those of ``docs`` that come first by ``found`` (doc_id, tk and the first row's place).
+
+    Rows go, or are ordered among their equals, by a table of the keys that are not first or
+    stand for several rows; where that is small, Catalyst broadcasts it and no text moves.
+    """
     here = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
     d, t, nth = free_names(docs, "_d", "_t", "_nth")
-    kept = found.filter(here == F.col("first")).select(F.col("doc_id").alias(d), F.col("tk").alias(t))
-    kept = write_table(kept.distinct(), "first-of-component")
+    keys = found.groupBy("doc_id", "tk").agg(F.max(here == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    odd = write_table(keys.filter("n > 1 OR NOT stays"), "odd-keys")
+    gone = odd.select(F.col("doc_id").alias(d), F.col("tk").alias(t), "stays")
+    again = gone.filter("stays").drop("stays")
     same = docs.doc_id.cast("bigint").eqNullSafe(F.col(d)) & (text_key(docs.text) == F.col(t))
-    joined = docs.join(kept, same)
     columns = [column(c) for c in docs.columns]
+    lone = docs.join(gone.drop("stays"), same, "left_anti").select(*columns)
     equal = Window.partitionBy(d, t).orderBy(F.xxhash64(*columns))
-    return joined.withColumn(nth, F.row_number().over(equal)).filter(F.col(nth) == 1).select(*columns)
+    ordered = docs.join(again, same).withColumn(nth, F.row_number().over(equal))
+    return lone.unionByName(ordered.filter(F.col(nth) == 1).select(*columns))
 
 
 def fingerprint_text(fp: Column) -> Column:

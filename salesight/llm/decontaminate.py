@@ -63,7 +63,7 @@ def masked(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
 class Seeds(NamedTuple):
     """All seeds of a block of test items."""
 
-    ids: np.ndarray  # of items
+    ids: pa.Array  # of items, null where an item has none
     tokens: np.ndarray
     rows: np.ndarray  # where each item's tokens begin
     masks: list[tuple[int, ...]]
@@ -72,7 +72,7 @@ class Seeds(NamedTuple):
     sieve: list[np.ndarray]  # by low bits: whether any seed has them
 
 
-def seeds(ids: np.ndarray, hashes: np.ndarray, rows: np.ndarray) -> Seeds:
+def seeds(ids: pa.Array, hashes: np.ndarray, rows: np.ndarray) -> Seeds:
     lengths = np.diff(rows)
     short = sorted({int(n) for n in lengths if LEAST <= n < SPAN})
     masks = [*MASKS, *(tuple(range(n)) for n in short)]
@@ -147,7 +147,7 @@ def matches(test: Seeds, hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple
 
 def _block(items: DataFrame) -> Seeds:
     rows = items.collect()  # a block: bounded by BLOCK_BYTES, or one item
-    ids = np.array([r.item_id if r.item_id is not None else -1 for r in rows], np.int64)
+    ids = pa.array([r.item_id for r in rows], pa.int64())
     hashes, bounds = [], [np.zeros(1, np.int64)]
     for chunk in T.chunks(pa.array([r.text for r in rows], pa.string())):
         found, starts = tokens(chunk)
@@ -184,10 +184,9 @@ def contaminated(
                 hits = list(matches(test, *tokens(chunk)))
                 if hits:
                     row, item, first, last, equal = np.array(hits).T
-                    named = test.ids[item]
                     yield records(
                         doc_id=ids.take(pa.array(row + chunk.first)),
-                        item_id=pa.array(named, mask=named == -1),
+                        item_id=test.ids.take(pa.array(item)),
                         start_word=first,
                         end_word=last,
                         n_equal=equal,

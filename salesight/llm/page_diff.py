@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as markup
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -91,6 +92,7 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()  # open elements by tag: the stack is searched only for those
     furniture = main = 0
 
     def flush() -> None:
@@ -102,7 +104,8 @@ def blocks(page: str) -> list[Block]:
     def pop(to: int) -> None:
         nonlocal furniture, main
         while len(stack) > to:
-            _, f, m = stack.pop()
+            name, f, m = stack.pop()
+            opened[name] -= 1
             furniture, main = furniture - f, main - m
 
     at = 0
@@ -119,7 +122,7 @@ def blocks(page: str) -> list[Block]:
             kind = _kind(tag, token.group(4))
         if tag in INLINE and (token.group(2) or not any(kind)):
             parts.append(" " if tag == "br" else "")
-            if token.group(2):
+            if token.group(2) and opened[tag]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         flush()
@@ -130,7 +133,7 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if token.group(2):
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
                     pop(i)
                     break
@@ -146,6 +149,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] not in INLINE and stack[i][0] not in ("p", "td", "th"):
                     break
         stack.append((tag, *kind))
+        opened[tag] += 1
         furniture, main = furniture + kind[0], main + kind[1]
     parts.append(page[at:] if at < len(page) else "")
     flush()

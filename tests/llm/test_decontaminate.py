@@ -82,3 +82,12 @@ def test_clean_documents_and_empty_tables(spark):
     assert D.contaminated(docs, bench.limit(0)).count() == 0
     assert D.contaminated(docs.limit(0), bench).count() == 0
     assert D.clean_documents(docs, bench.limit(0)).count() == 4
+
+
+def test_item_ids_are_reported_as_they_are(spark):
+    words = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, words)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(-1, words), (None, words), (7, words), (8, None)], "item_id bigint, text string")
+    found = D.contaminated(docs, items).collect()
+    assert sorted((r.item_id is None, r.item_id or 0) for r in found) == [(False, -1), (False, 7), (True, 0)]
+    assert {(r.doc_id, r.start_word, r.end_word, r.n_equal) for r in found} == {(1, 0, 19, 20)}

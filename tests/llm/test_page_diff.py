@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from salesight.llm import page_diff as P
 
@@ -103,3 +104,15 @@ def test_query_gives_the_articles(spark, small_dir):
         parts = [re.sub(r"<[^>]*(>|\Z)", "", x) for x in re.split(r"</?(?:p|h1)>|<br>", article)]
         parts = [" ".join(html.unescape(x).split()) for x in parts]
         assert row.text == "\n\n".join(x for x in parts if x) and row.n_chars == len(row.text)
+
+
+def test_stray_closing_tags_cost_no_search_of_the_stack():
+    """Closing tags of elements that are not open change nothing, however deep the page is."""
+    n = 20_000
+    page = "<div>" * n + "<p>one</p>" + "</section>" * n + "two" + "</b>" * n
+    started = time.process_time()
+    found = P.blocks(page)
+    assert time.process_time() - started < 5
+    assert found == P.blocks("<div><p>one</p></div>two") and [b.text for b in found] == ["one", "two"]
+    assert [b.text for b in P.blocks("<nav>a</b></p><p>b</nav>c</p>d")] == ["a", "b", "c", "d"]
+    assert [b.furniture for b in P.blocks("<nav>a</b></p><p>b</nav>c</p>d")] == [True, True, False, False]

@@ -111,3 +111,35 @@ def test_no_machine_local_staging_on_a_cluster():
         staging.staging_root(_Session(**local))
     mounted = _Session(**local, **{staging.SHARED_FILES: "true"})
     assert staging.staging_root(mounted) == "file:///tmp/ckpt/salesight-app-1"
+
+
+class _Elsewhere:
+    """A session on a cluster with other settings."""
+
+    def __init__(self, spark, **settings):
+        self._spark, self.conf = spark, _Session(**settings)
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+def test_a_mounted_folder_is_taken_on_a_cluster(spark, tmp_path):
+    """What executors write to a ``file:`` folder is seen: it is shared, and nothing is left in it."""
+    found = _Elsewhere(spark, **{"spark.master": "spark://host:7077", "spark.checkpoint.dir": f"file://{tmp_path}/"})
+    assert staging.staging_root(found) == f"file://{tmp_path}/salesight-app-1"
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_folder_that_loses_rows_is_refused_on_a_cluster(spark, tmp_path):
+    settings = {"spark.master": "spark://host:7077", "spark.checkpoint.dir": f"file://{tmp_path}"}
+    found = _Elsewhere(spark, **settings)
+    found.range = lambda *args: spark.range(staging.PROBES - 1)  # one executor's file is missing
+    with pytest.raises(RuntimeError, match="one machine"):
+        staging.staging_root(found)
+
+
+def test_executors_of_their_own_stage_in_the_warehouse_where_no_checkpoint_folder_is_set(spark, tmp_path):
+    settings = {"spark.master": "local-cluster[2,1,1024]", "spark.sql.warehouse.dir": f"file://{tmp_path}"}
+    found = _Elsewhere(spark, **settings)
+    found.sparkContext = None  # which may have a checkpoint folder from another test
+    assert staging.staging_root(found) == f"file://{tmp_path}/salesight-app-1"

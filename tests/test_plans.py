@@ -90,3 +90,19 @@ def test_reports_run_few_jobs_while_they_are_built(table, report, before):
     report(table)
     spark.sparkContext.setJobGroup("other", "other")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < before
+
+
+@pytest.mark.parametrize("name", ["cleaning_report", "duplicate_rows", "kpi_totals", "value_counts"])
+def test_shuffles_grow_with_the_tables(spark, small_dir, monkeypatch, name):
+    """A plan begins with a partition for so many bytes of input, so a task's share stays the same."""
+    from salesight import session
+
+    query, usual = entry.queries()[name], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        monkeypatch.setattr(session, "INPUT_BYTES", 5_000)
+        found = {int(n) for n in re.findall(r"hashpartitioning\(l_orderkey#\d+L?, (\d+)\)", plan(query(spark, small_dir)))}
+        assert len(found) == 1 and min(found) > 30 > usual
+    finally:
+        monkeypatch.undo()
+        small = plan(query(spark, small_dir))
+    assert f", {usual})" in small and spark.conf.get(session.INITIAL, None) is None

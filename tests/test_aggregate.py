@@ -99,6 +99,25 @@ def test_approximate_description(spark):
     assert (row.row_count, row.q25, row.q50, row.q75) == (1001, 250.0, 500.0, 750.0)
 
 
+@pytest.mark.parametrize("finest", [20, 10_000])
+def test_fine_approximate_quartiles_need_no_long_digest(spark, monkeypatch, finest):
+    """They are the values at the quartiles' ranks, from digests of the usual length."""
+    import numpy as np
+
+    rnd = np.random.default_rng(finest)
+    values = np.concatenate([rnd.normal(0, 50, 4000).round(1), np.full(1503, 7.0)])
+    asked, digest = [], F.percentile_approx
+    monkeypatch.setattr(describe, "DIGEST_ACCURACY", finest)
+    monkeypatch.setattr(F, "percentile_approx", lambda c, p, accuracy: asked.append(accuracy) or digest(c, p, accuracy))
+    df = spark.createDataFrame([(float(v), float(i)) for i, v in enumerate(values)], "x double, y double").repartition(7)
+    df = df.unionByName(spark.createDataFrame([(None, None)], df.schema))
+    rows = {r.measure: r for r in describe.describe(df, ["x", "y"], accuracy=10_000_000).collect()}
+    for name, known in (("x", values), ("y", np.arange(len(values)))):
+        found = [rows[name].q25, rows[name].q50, rows[name].q75]
+        assert found == list(np.quantile(known, [0.25, 0.5, 0.75], method="inverted_cdf"))
+    assert max(asked) <= finest
+
+
 def test_split_follows_rows_not_partitions(spark):
     df = spark.range(5000).select("id", F.lit("hot").alias("key"))
     one = sampling.train_test_split(df.repartition(1)).where("split = 'train'").select("id")

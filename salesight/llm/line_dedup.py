@@ -234,9 +234,10 @@ def sieve(lines: DataFrame) -> np.ndarray:
     """
     word = F.shiftrightunsigned("line", 6).bitwiseAND(F.lit(SIEVE_WORDS - 1)).cast("int")
     bit = F.expr("shiftleft(1L, cast(line & 63 as int))")
-    rows = lines.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    # as Arrow columns: a million rows as Python objects take hundreds of MB of the driver
+    rows = lines.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     made = np.zeros(SIEVE_WORDS, np.uint64)
-    made[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    made[rows["word"].to_numpy().astype(np.int64)] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return made
 
 

@@ -92,3 +92,39 @@ def test_a_large_group_is_compared_along_chains(spark, monkeypatch):
     expected, pairs = brute_firsts(texts)
     assert kept == expected
     assert len(pairs) > 1500 and sum(seen) < 400
+
+
+def test_fingerprints_link_before_the_exact_join(spark, monkeypatch):
+    """SimHash alone links texts of few changes; the prefix join gets only pairs that it left."""
+    rng = random.Random(11)
+    texts = {}
+    for base in range(6):
+        words = [f"b{base}w{i}" for i in range(900)]
+        for _ in range(4):
+            texts[len(texts)] = " ".join(words)
+            words[rng.randrange(len(words))] = f"x{len(texts)}"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    distinct = write_table(N.sets(docs).withColumn("first", N.F.col("doc_id")), "sets")
+    ids = {r.sid: r.doc_id for r in distinct.collect()}
+    pairs = {tuple(sorted((ids[r.u], ids[r.v]))) for r in N.fingerprint_pairs(distinct).collect()}
+    assert len(pairs) > 10 and all(a // 4 == b // 4 for a, b in pairs)
+    asked, chained = [], N.chained
+
+    def kept_count(pairs, packed, links=None):
+        asked.append(pairs.count())
+        return chained(pairs, packed, links)
+
+    monkeypatch.setattr(N, "chained", kept_count)
+    kept = {r.doc_id for r in N.one_of_each(docs).collect()}
+    assert kept == brute_firsts(texts)[0] == {4 * base for base in range(6)}
+    assert asked[0] == len(pairs) and 0 < sum(asked[1:]) <= 36 - len(pairs)
+
+
+def test_a_full_sieve_is_collected_in_columns(spark, monkeypatch):
+    from salesight.llm.line_dedup import SIEVE_WORDS, sieve
+
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", lambda self: 1 / 0)
+    lines = spark.range(200_000).select((N.F.xxhash64("id")).alias("line"))
+    made, known = sieve(lines), [r.line for r in lines.collect()]
+    assert all(int(made[(x >> 6) & (SIEVE_WORDS - 1)]) >> (x & 63) & 1 for x in known)
+    assert not sieve(lines.limit(0)).any()

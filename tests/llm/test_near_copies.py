@@ -128,3 +128,53 @@ def test_a_full_sieve_is_collected_in_columns(spark, monkeypatch):
     made, known = sieve(lines), [r.line for r in lines.collect()]
     assert all(int(made[(x >> 6) & (SIEVE_WORDS - 1)]) >> (x & 63) & 1 for x in known)
     assert not sieve(lines.limit(0)).any()
+
+
+def test_prefixes_begin_with_shingles_of_no_other_set(spark, monkeypatch):
+    """Texts that share a quarter of their shingles have far fewer of them in their prefixes."""
+    texts = {}
+    for i in range(40):
+        shared = [f"s{i // 2}w{k}" for k in range(100)]
+        texts[i] = " ".join([*shared, *(f"t{i}w{k}" for k in range(300))])
+    rows, write = {}, N.write_table
+
+    def counted(df, name):
+        table = write(df, name)
+        rows[name] = rows.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(N, "write_table", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    assert N.one_of_each(docs).count() == 40
+    assert rows["shared-prefixes"] < 40 * 80 // 4 // 2  # a quarter of 80 places, were the order by hash alone
+    assert rows["copy-pairs"] == 0
+
+
+def test_bitmaps_tell_unrelated_sets_of_documents_apart():
+    rng = N.np.random.default_rng(3)
+    for n in (100, 500, 900):
+        hashes = N.np.sort(rng.integers(0, 2**64, (2, n), dtype=N.np.uint64), axis=1).ravel()
+        made = N.bitmaps(hashes, N.np.array([0, n, 2 * n]))
+        changed = sum(int(b[0] ^ b[1]).bit_count() for b in made)
+        assert 9 * changed > 2 * n, n
+
+
+def test_a_run_of_common_shingles_is_one_row(spark):
+    pairs = [((1, None), (2, None)), ((1, 5), (2, None)), ((1, 5), (2, 6)), ((1, 5), (2, 5))]
+    rows = spark.createDataFrame(pairs, "a struct<sid:bigint,prev:bigint>, b struct<sid:bigint,prev:bigint>")
+    assert [r[0] for r in rows.select(N._first_of_run("a", "b")).collect()] == [True, True, True, False]
+
+
+def test_components_of_stars_take_no_pass(spark, monkeypatch):
+    from salesight.llm import components as G
+
+    written, write = [], G.write_table
+    monkeypatch.setattr(G, "write_table", lambda df, name: written.append(name) or write(df, name))
+    stars = spark.createDataFrame([(u, u % 3) for u in range(3, 90)], "u bigint, v bigint")
+    assert {(r.u, r.root) for r in G.components(stars).collect()} == {(u, u % 3) for u in range(3, 90)}
+    assert len(written) == 1
+    # a star whose centre is its largest key is none, nor is one in the wrong direction
+    other = spark.createDataFrame([(1, 9), (2, 9), (9, 3), (4, 5), (6, 6)], "u bigint, v bigint")
+    assert {(r.u, r.root) for r in G.components(other).collect()} == {(2, 1), (3, 1), (9, 1), (5, 4)}
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "u bigint, v bigint")
+    assert {(r.u, r.root) for r in G.components(chain).collect()} == {(i, 0) for i in range(1, 61)}

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 UNIT = 1_000_000
 STEPS = 20
-#: Sums of millionths and of their products, exact beyond what a bigint holds.
+#: Sums of millionths and of their products, exact beyond what a bigint holds. The steps sum in
+#: bigint: n z-scores are at most n in sum, sign or not, so it holds up to 9e12 rows.
 _SUM, _PRODUCT = "decimal(20,0)", "decimal(28,0)"
 
 Centres = dict[int, list[tuple[float, ...]]]
@@ -92,7 +93,7 @@ def step_sums(points: DataFrame, centres: Mapping[int, Sequence[Sequence[float]]
     """
     width = len(next(iter(centres.values()))[0])
     placed = with_nearest(points.select("z"), centres, "k", "cluster", "d")
-    sums = [F.sum(F.col("z")[i].cast(_SUM)).alias(f"s{i}") for i in range(width)]
+    sums = [F.sum(F.col("z")[i]).alias(f"s{i}") for i in range(width)]
     return placed.groupBy("k", "cluster").agg(F.count(F.lit(1)).alias("n"), *sums, F.sum("d").alias("cost"))
 
 
@@ -100,27 +101,28 @@ def fit(points: DataFrame, ks: Sequence[int], steps: int = STEPS) -> tuple[Centr
     """Centres and within-cluster sum of squares for every number of clusters in ``ks``.
 
     ``points`` has ``z`` (see ``fixed_points``). All fits start from the first points by
-    hash and move together, ``steps`` times or until no centre moves; a centre without
-    points stays where it is. Fewer distinct points than clusters give that many clusters;
+    hash and move together, ``steps`` times or until no centre moves; a fit that has come to
+    rest is not measured again; a centre without points stays where it is. Fewer distinct points than clusters give that many clusters;
     no points give no centres.
     """
     start = start_centres(points, max(ks))
     if not start:
         return {k: [] for k in ks}, dict.fromkeys(ks, 0.0)
     centres: Centres = {k: start[:k] for k in ks}
+    moving, cost = centres, dict.fromkeys(ks, 0.0)
     for step in range(steps + 1):
-        found = step_sums(points, centres).collect()  # a row for each centre
-        if step == steps:
-            break
-        moved = {k: list(c) for k, c in centres.items()}
+        found = step_sums(points, moving).collect()  # a row for each centre
+        moved = {k: list(c) for k, c in moving.items()}
+        cost |= dict.fromkeys(moving, 0.0)
         for r in found:
             moved[r.k][r.cluster] = tuple(float(r[f"s{i}"]) / float(r.n) for i in range(len(start[0])))
-        if moved == centres:
+            cost[r.k] += r.cost / UNIT**2
+        if step == steps:
+            break
+        moving = {k: c for k, c in moved.items() if c != moving[k]}
+        centres |= moving
+        if not moving:
             break
-        centres = moved
-    cost = dict.fromkeys(ks, 0.0)
-    for r in found:
-        cost[r.k] += r.cost / UNIT**2
     return centres, cost
 
 

@@ -261,6 +261,29 @@ def test_a_step_is_one_scan_for_all_fits(points):
     assert "Join" not in plan and "Python" not in plan
 
 
+def test_steps_sum_in_bigint(points):
+    step = lloyd.step_sums(points, {k: lloyd.start_centres(points, k) for k in (2, 3)})
+    assert {t for n, t in step.dtypes if n.startswith("s")} == {"bigint"}
+    exact = points.agg(*[F.sum(F.col("z")[i].cast("decimal(38,0)")) for i in range(5)]).first()
+    found = step.where("k = 3").agg(*[F.sum(f"s{i}") for i in range(5)]).first()
+    assert list(map(int, found)) == list(map(int, exact))
+
+
+def test_fits_at_rest_are_not_measured_again(spark, monkeypatch):
+    z = [(x, y) for x in (0, 10) for y in range(10)]
+    points = spark.createDataFrame([([a * lloyd.UNIT, b * lloyd.UNIT],) for a, b in z], "z array<bigint>")
+    measured, step_sums = [], lloyd.step_sums
+    monkeypatch.setattr(lloyd, "step_sums", lambda p, c: measured.append(sorted(c)) or step_sums(p, c))
+    ks = [1, 2, 4, 6]
+    centres, cost = lloyd.fit(points, ks, 20)
+    assert measured[0] == measured[1] == ks and 1 not in measured[2]  # one centre rests after its first move
+    assert all(set(b) <= set(a) for a, b in zip(measured, measured[1:]))
+    start = lloyd.start_centres(points, max(ks))
+    for k in ks:
+        expected, expected_cost = plain_lloyd(np.array(z, float) * lloyd.UNIT, start[:k], 20)
+        assert np.array(centres[k]) == pytest.approx(expected) and cost[k] == pytest.approx(expected_cost)
+
+
 def test_few_equal_or_no_points(spark):
     rows = [(1.0, 5.0)] * 40 + [(2.0, 5.0)] * 3
     df = lloyd.fixed_points(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])

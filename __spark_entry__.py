@@ -40,6 +40,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
 HIGHER_CUTS = (1500, 3500)
 BATCH_BUCKETS = 8
+#: Bytes of input files for each bucket, beyond ``BATCH_BUCKETS`` of them: a bucket of a year fits a task.
+BATCH_BYTES = 32 << 20
 LOOKED_UP = ("small ring", "red widget")
 
 
@@ -218,9 +220,10 @@ def _clean_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table in two batches that overlap, each repeating rows of its own."""
     rows, order = raw(spark, sf_dir), F.col("`Order ID`")
     table, path = f"sales_{uuid.uuid4().hex}", staged_path(spark, "batches")
+    buckets = max(BATCH_BUCKETS, -(-star.sales_bytes(spark, sf_dir) // BATCH_BYTES))
     for part in (order % 3 != 0, (order % 3 == 0) | (order % 2 == 0)):
         stored = incremental.add_batch(
-            rows.where(part), table, BATCH_BUCKETS, path, prepare.EXACT_SALES_TYPES
+            rows.where(part), table, buckets, path, prepare.EXACT_SALES_TYPES
         )
     found = spark.read.schema(stored.schema).parquet(path)
     spark.sql(f"DROP TABLE {table}")  # the name only: the files are the staging folder's

@@ -3,8 +3,9 @@
 Cleaning compares whole rows, so a full run shuffles all of them. Here each batch is
 cleaned by itself and then compared with the rows that share its bucket and its years:
 the table is written in buckets of the row hash, within folders by year, so the history
-enters the join where it lies. Only the batch moves. A batch that is added again, whole
-or in part, adds nothing, which makes a failed run safe to repeat.
+enters the join where it lies. Only the batch moves, a year at a time: what a task sorts and
+what a shuffle keeps on disk is one year's, and shuffle files go with each write. A batch that
+is added again, whole or in part, adds nothing, which makes a failed run safe to repeat.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from ..operators.prepare import (
     with_margin,
 )
 from ..operators.quality import valid_rows
-from ..sources.staging import release, stage
+from ..sources.staging import SHUFFLE_CLEANUP, release, settings, stage_by
 
 ROW_HASH = "row_hash"
 MARGIN = "profit_margin_pct"
 #: A margin that came with the input: it counts when rows are compared, so it is kept.
 GIVEN_MARGIN = "given_margin_pct"
+#: The folders of a staged batch.
+YEAR = "_batch_year"
 
 
 def _unseen(batch: DataFrame, history: DataFrame, cols: list[str]) -> DataFrame:
@@ -67,8 +70,8 @@ def add_batch(
 
     The first batch creates the table, at ``path`` if given. Later batches must have its
     columns and name its number of buckets (Spark refuses another). The batch is shuffled
-    twice: by whole rows, where repeats collapse before they move, and into its buckets.
-    An empty batch adds nothing. Size ``buckets`` so that one of a year fits a task.
+    twice: by whole rows, where repeats collapse before they move, and into its buckets, year
+    by year. An empty batch adds nothing. Size ``buckets`` so that one of a year fits a task.
     """
     spark = raw.sparkSession
     valid = valid_rows(prepare_sales(raw, types, date_format))
@@ -76,18 +79,25 @@ def add_batch(
         valid = valid.withColumnRenamed(MARGIN, GIVEN_MARGIN)
     distinct = valid.dropDuplicates()
     hashed = distinct.withColumn(ROW_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in valid.columns]))
-    batch = stage(hashed, "batch")
+    batch = stage_by(hashed.withColumn(YEAR, F.year("order_date_parsed")), YEAR, "batch")
     history = spark.table(table) if spark.catalog.tableExists(table) else None
-    writer = (
-        with_margin(date_parts(new_rows(batch.frame, history, buckets)))
-        .write.format("parquet")
-        .mode("append")
-        .partitionBy("order_year")
-        .bucketBy(buckets, ROW_HASH)
-    )
-    if path is not None and history is None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    created = history is None
+    # One value per calendar year of the batch; an empty one still creates the table.
+    years = sorted(r[0] for r in batch.frame.select(YEAR).distinct().collect()) or [None]
+    for year in years:
+        rows = batch.frame.where(F.col(YEAR).eqNullSafe(F.lit(year))).drop(YEAR)
+        writer = (
+            with_margin(date_parts(new_rows(rows, history, buckets)))
+            .write.format("parquet")
+            .mode("append")
+            .partitionBy("order_year")
+            .bucketBy(buckets, ROW_HASH)
+        )
+        if path is not None and created:
+            writer = writer.option("path", path)
+        with settings(spark, **{SHUFFLE_CLEANUP: "true"}):
+            writer.saveAsTable(table)
+        created = False
     release(spark, batch.path)
     return clean_rows(spark.table(table))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fit_shuffles
+from ..session import fit_shuffles, input_bytes
 
 # Header texts as a CSV export carries them.
 RAW_HEADERS = {
@@ -40,6 +40,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(_path(folder, name))
 
 
+def sales_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the tables behind the sales that grow."""
+    return input_bytes(spark, [_path(folder, name) for name in LARGE])
+
+
 def _buyers(spark: SparkSession, folder: str) -> DataFrame:
     places = (
         _table(spark, folder, "nation")

@@ -105,6 +105,35 @@ def test_history_is_not_shuffled_and_other_years_are_not_read(spark, table, tmp_
     assert "Exchange" not in right and "SortMergeJoin" in left
 
 
+def test_a_batch_moves_year_by_year(spark, table, tmp_path, monkeypatch):
+    moved, new_rows = [], incremental.new_rows
+
+    def seen(batch, history, buckets):
+        years = {r.order_date_parsed.year for r in batch.collect()}
+        moved.append((years, spark.conf.get(incremental.SHUFFLE_CLEANUP, None)))
+        return new_rows(batch, history, buckets)
+
+    monkeypatch.setattr(incremental, "new_rows", seen)
+    before = spark.conf.get(incremental.SHUFFLE_CLEANUP, None)
+    rows = [row(i, order_date=f"01-15-0{i % 5}") for i in range(20)]
+    assert add(frame(spark, rows[:7]), table, tmp_path / "t").count() == 7
+    assert [years for years, _ in moved] == [{y} for y in range(2000, 2005)]
+    assert add(frame(spark, rows + rows[:3]), table, tmp_path / "t").count() == 20
+    assert [years for years, _ in moved[5:]] == [{y} for y in range(2000, 2005)]
+    assert spark.conf.get(incremental.SHUFFLE_CLEANUP, None) == before
+
+
+def test_buckets_of_the_query_follow_the_input(spark, small_dir, monkeypatch):
+    given = []
+    monkeypatch.setattr(incremental, "add_batch", lambda raw, table, buckets, *rest: given.append(buckets) or 1 / 0)
+    for size in (None, 100 * entry.BATCH_BYTES + 1):
+        if size:
+            monkeypatch.setattr(entry.star, "sales_bytes", lambda *_: size)
+        with pytest.raises(ZeroDivisionError):
+            entry.queries()["clean_in_batches"](spark, small_dir)
+    assert given == [entry.BATCH_BUCKETS, 101]
+
+
 def test_another_bucket_number_is_refused(spark, table, tmp_path):
     add(frame(spark, [row(1)]), table, tmp_path / "t")
     with pytest.raises(Exception, match="(?i)bucket"):

@@ -11,6 +11,7 @@ from test_quality_and_notices import brute_counts
 import corpus_pipeline as C
 from salesight.llm import decontaminate as D
 from salesight.llm import line_dedup as L
+from salesight.llm import near_copies as N
 from salesight.llm import quality_rules as Q
 from salesight.llm.tables import text_key, write_table
 
@@ -180,3 +181,42 @@ def test_near_copies_planted_before_the_pipeline(spark, tmp_path, small_dir):
     kept = [r.doc_id for r in C.copies(spark, held, str(tmp_path)).collect()]
     assert sorted(kept) == [4 * base for base in range(12)]
     assert sorted(group[r.doc_id] for r in C.run(spark, str(tmp_path)).collect()) == list(range(12))
+
+
+def lined(rng, n, of="word"):
+    return "\n".join(" ".join(f"{of}{rng.randrange(10**6)}" for _ in range(20)) for _ in range(n))
+
+
+def test_copies_in_the_texts_handed_on(spark, tmp_path):
+    """Documents that differed in removed lines only are compared as op6 does it."""
+    import random
+
+    rng = random.Random(4)
+    body, other = lined(rng, 10), lined(rng, 10)
+    whole = [(0, body + "\n" + lined(rng, 9)), (1, lined(rng, 9) + "\n" + body.upper()), (2, other + "\n" + lined(rng, 3))]
+    cut = [(0, body), (1, body.upper()), (2, other)]
+    spark.createDataFrame(whole, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept = C.copies(spark, write_table(spark.createDataFrame(cut, "doc_id bigint, text string"), "cut"), str(tmp_path))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [cut[0], cut[2]]
+
+
+def test_null_and_repeated_ids_are_compared_as_they_were(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    texts = [lined(rng, 12) for _ in range(4)]
+    lines = [t.split("\n") for t in texts]
+    near = [t.replace(t.split()[-1], f"new{i}") for i, t in enumerate(texts)]  # the last word of the last line
+    ids = [None, 7, 8, None]
+    before = [(i, t) for i, t in zip(ids, texts, strict=True)] + [(i and 7, t) for i, t in zip(ids, near, strict=True)]
+    before += [(8, texts[2]), (9, texts[0] + " "), (9, texts[0] + " ")]
+    docs = [(i, t) for i, t in zip(ids, texts, strict=True)]
+    docs += [(i and 7, t.split("\n")[-1]) for i, t in zip(ids, near, strict=True)] + [(9, lines[0][3])]
+    columns = "doc_id bigint, text string"
+    was = spark.createDataFrame(before, columns)
+    found = N.earlier_texts(spark.createDataFrame(docs, columns), was).collect()
+    expected = before[:8] + [(9, texts[0] + " ")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in found))) == sorted(map(str, expected))
+    was.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = C.copies(spark, write_table(spark.createDataFrame(docs, columns), "cut"), str(tmp_path))
+    assert len({t.split()[0] for _, t in docs[:4]}) == 4 == kept.count()
